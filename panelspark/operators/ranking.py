@@ -1,11 +1,12 @@
-"""Best and worst entity of each group, as one aggregation without a window."""
+"""Best and worst entity of each group."""
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.operators.aggregates import loser, mean_percent, winner
+from panelspark.session import written
 
 
 def mean_growth(growth: DataFrame, keys: Sequence[str], rate: str = "yoy_growth_rate") -> DataFrame:
@@ -14,19 +15,39 @@ def mean_growth(growth: DataFrame, keys: Sequence[str], rate: str = "yoy_growth_
 
 
 def best_in_group(df: DataFrame, group: Sequence[str], value: str, key: str, label: str) -> DataFrame:
-    """Group, label and value of the row with the highest value."""
+    """Group, label and value of the row with the highest value, in one aggregation."""
     return _picked(df, group, winner(value, key, label), label, value)
 
 
 def worst_in_group(df: DataFrame, group: Sequence[str], value: str, key: str, label: str) -> DataFrame:
-    """Group, label and value of the row with the lowest value."""
+    """Group, label and value of the row with the lowest value, in one aggregation."""
     return _picked(df, group, loser(value, key, label), label, value)
 
 
-def _picked(df, group, pick, label, value):
+def _picked(df: DataFrame, group: Sequence[str], pick: Column, label: str, value: str) -> DataFrame:
     return (
         df.groupBy(*group)
         .agg(pick.alias("pick"))
         .filter(F.col("pick").isNotNull())
         .select(*group, F.col(f"pick.{label}").alias(label), F.col(f"pick.{value}").alias(value))
     )
+
+
+def extremes(df: DataFrame, group: Sequence[str], value: str, key: str, label: str) -> DataFrame:
+    """Group, best and worst: struct(key, label, value), ties by the smallest key; for large tables.
+
+    An aggregate that carries text makes Spark sort all rows by group. Here the
+    rows only pass a hash aggregation of numbers. Its result, one row per group, is
+    written, and the rows that hold an extreme are joined back: by broadcast if the
+    written table is small, else on (group, value), which has no hot key of its own.
+    """
+    bounds = df.groupBy(*group).agg(F.max(value).alias("best"), F.min(value).alias("worst"))
+    sides = written(bounds).unpivot(list(group), ["best", "worst"], "side", "bound")
+    same = [F.col(f"facts.{c}").eqNullSafe(F.col(f"sides.{c}")) for c in group]
+    same.append(F.col(f"facts.{value}") == F.col("sides.bound"))
+    found = df.select(*group, value, key, label).alias("facts").join(sides.alias("sides"), same)
+    row = F.struct(*[F.col(f"facts.{c}").alias(c) for c in (key, label, value)])
+    return found.groupBy(*[F.col(f"facts.{c}").alias(c) for c in group]).agg(
+        F.min(F.when(F.col("side") == "best", row)).alias("best"),
+        F.min(F.when(F.col("side") == "worst", row)).alias("worst"),
+    )

@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from panelspark.operators.filters import exclude_values, require_not_null
 from panelspark.operators.joins import join_dimension
-from panelspark.plans.panel import Panel, entity_summary, group_period_extremes, group_summary
-from panelspark.plans.panel import with_growth as panel_with_growth
+from panelspark.plans import panel
 
 # Fixed value: the code left out of the GDP tables.
 EXCLUDED_CODES = ("02261",)
 
-PANEL = Panel(measure="gdp_value")
+PANEL = panel.Panel(measure="gdp_value")
 
 
 def bronze(raw: DataFrame, dimension: DataFrame, excluded: Iterable[str] = EXCLUDED_CODES) -> DataFrame:
@@ -45,15 +44,21 @@ def by_year(gdp: DataFrame) -> DataFrame:
     return gdp.select(*PANEL.keys, "year", "date", "gdp_value")
 
 
-def with_growth(gdp: DataFrame) -> DataFrame:
-    growth = panel_with_growth(gdp.select(*PANEL.keys, "year", "gdp_value"), PANEL, "prev_year_gdp")
-    return growth.select(*PANEL.keys, "year", "gdp_value", "prev_year_gdp", "yoy_growth_rate")
+def sequence(gdp: DataFrame, rows_per_task: int | None = None) -> DataFrame:
+    """By-year rows with the previous value, growth and drawdown: what the next tables are made of."""
+    rows = gdp.select(*PANEL.keys, "year", "gdp_value")
+    return panel.sequence(rows, PANEL, "prev_year_gdp", rows_per_task=rows_per_task)
 
 
-def county_summary(growth: DataFrame) -> DataFrame:
-    """One row per county, from the growth table."""
+def with_growth(rows: DataFrame) -> DataFrame:
+    """The growth table, from ``sequence`` rows."""
+    return rows.select(*PANEL.keys, "year", "gdp_value", "prev_year_gdp", "yoy_growth_rate")
+
+
+def county_summary(rows: DataFrame) -> DataFrame:
+    """One row per county, from ``sequence`` rows."""
     extra = {"first_year": F.min("year"), "last_year": F.max("year"), "years_of_data": F.count("*")}
-    return entity_summary(growth, PANEL, extra).select(
+    return panel.entity_summary(rows, PANEL, extra).select(
         *PANEL.keys,
         "first_year",
         "last_year",
@@ -70,7 +75,7 @@ def county_summary(growth: DataFrame) -> DataFrame:
 
 def state_summary(growth: DataFrame) -> DataFrame:
     """One row per state, from the growth table."""
-    return group_summary(growth, PANEL).select(
+    return panel.group_summary(growth, PANEL).select(
         *PANEL.groups,
         F.col("entities").alias("num_counties"),
         F.col("first_period").alias("first_year"),
@@ -87,7 +92,7 @@ def state_summary(growth: DataFrame) -> DataFrame:
 
 def by_state_by_year(gdp: DataFrame) -> DataFrame:
     """One row per state and year, from the by-year table."""
-    return group_period_extremes(gdp, PANEL, {"total_gdp": F.sum("gdp_value")}).select(
+    return panel.group_period_extremes(gdp, PANEL, {"total_gdp": F.sum("gdp_value")}).select(
         "state_name",
         "state_code",
         "year",

@@ -4,7 +4,7 @@ A growth panel has one row per (entity, period) with the measure and its growth
 rate. Column names are parameters; group and entity columns are those of ``Panel``.
 """
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +13,8 @@ from pyspark.sql.window import Window
 
 from panelspark.functions import growth_percent, hundredths, mean_of_hundredths
 from panelspark.operators.aggregates import deepest, highest, loser, lowest, mean_percent, winner
-from panelspark.operators.sequence import previous_value, running_peak
+from panelspark.operators.ranking import extremes
+from panelspark.operators.sequence import with_previous_and_peak, with_previous_and_peak_split
 
 
 @dataclass(frozen=True)
@@ -33,41 +34,58 @@ class Panel:
         return [self.group, self.group_name, self.entity, self.entity_name]
 
     @property
-    def groups(self) -> list[str]:
-        return [self.group, self.group_name]
-
-
-def with_growth(df: DataFrame, panel: Panel, previous: str) -> DataFrame:
-    """The rows with the entity's preceding measure and the growth from it."""
-    base = previous_value(panel.measure, [panel.entity], panel.period)
-    return df.withColumn(previous, base).withColumn(
-        panel.growth, growth_percent(F.col(panel.measure), F.col(previous))
-    )
+    def sequence(self) -> list[str]:
+        """The entity with its labels, in the order that rows are sorted.
 
+        The labels depend on the entity, so they add no groups; with them the sort of
+        the window also serves the aggregation by ``keys`` that follows.
+        """
+        return [self.entity, self.entity_name, self.group, self.group_name]
 
-def with_drawdown(df: DataFrame, panel: Panel, peak: str = "peak", drawdown: str = "drawdown_pct") -> DataFrame:
-    """The rows with the entity's highest measure so far and the distance from it."""
-    top = running_peak(panel.measure, [panel.entity], panel.period)
-    return df.withColumn(peak, top).withColumn(drawdown, growth_percent(F.col(panel.measure), F.col(peak)))
+    @property
+    def groups(self) -> list[str]:
+        return [self.group, self.group_name]
 
 
-def entity_summary(growth: DataFrame, panel: Panel, extra: Mapping[str, Column]) -> DataFrame:
-    """One row per entity: mean growth, extremes of growth, deepest drawdown.
+def sequence(
+    df: DataFrame, panel: Panel, previous: str, drawdown: str = "drawdown_pct", rows_per_task: int | None = None
+) -> DataFrame:
+    """The rows with the entity's preceding measure, the growth from it, and the distance from the peak so far.
 
-    One aggregation over rows already placed by entity. Extremes are structs
-    (value, period); ``extra`` adds aggregates of the caller. Entities without a
-    known group or name are kept.
+    Without ``rows_per_task`` the table must have few rows per entity, as a panel
+    with one row per entity and period has. With it, entities above that size are
+    looked for and split.
     """
-    return (
-        with_drawdown(growth, panel)
-        .groupBy(*panel.keys)
-        .agg(
-            mean_percent(panel.growth).alias("mean_growth"),
-            highest(panel.growth, panel.period).alias("highest"),
-            lowest(panel.growth, panel.period).alias("lowest"),
-            deepest("drawdown_pct", panel.period).alias("deepest"),
-            *[aggregate.alias(name) for name, aggregate in extra.items()],
+    if rows_per_task is None:
+        rows = with_previous_and_peak(df, panel.sequence, panel.period, panel.measure, previous, "_peak")
+    else:
+        rows = with_previous_and_peak_split(
+            df, panel.sequence, panel.period, panel.measure, previous, "_peak", rows_per_task
         )
+    measure = F.col(panel.measure)
+    return rows.withColumns(
+        {
+            panel.growth: growth_percent(measure, F.col(previous)),
+            drawdown: growth_percent(measure, F.col("_peak")),
+        }
+    ).drop("_peak")
+
+
+def entity_summary(
+    rows: DataFrame, panel: Panel, extra: Mapping[str, Column], drawdown: str = "drawdown_pct"
+) -> DataFrame:
+    """One row per entity: mean growth, extremes of growth, deepest drawdown, from ``sequence`` rows.
+
+    One aggregation over rows already placed and sorted by entity. Extremes are
+    structs (value, period); ``extra`` adds aggregates of the caller. Entities
+    without a known group or name are kept.
+    """
+    return rows.groupBy(*panel.sequence).agg(
+        mean_percent(panel.growth).alias("mean_growth"),
+        highest(panel.growth, panel.period).alias("highest"),
+        lowest(panel.growth, panel.period).alias("lowest"),
+        deepest(drawdown, panel.period).alias("deepest"),
+        *[aggregate.alias(name) for name, aggregate in extra.items()],
     )
 
 
@@ -80,7 +98,7 @@ def group_summary(growth: DataFrame, panel: Panel) -> DataFrame:
     """
     rate = F.col(panel.growth)
     entities = (
-        growth.groupBy(*panel.keys)
+        growth.groupBy(*panel.sequence)
         .agg(
             F.min(panel.period).alias("first_period"),
             F.max(panel.period).alias("last_period"),
@@ -101,24 +119,23 @@ def group_summary(growth: DataFrame, panel: Panel) -> DataFrame:
         winner("avg_growth", panel.entity, panel.entity_name).alias("best"),
         loser("avg_growth", panel.entity, panel.entity_name).alias("worst"),
     )
-    return _across_names(groups, [panel.group], panel.group)
+    same_code = Window.partitionBy(panel.group)
+    known = F.col(panel.group).isNotNull()
+    return groups.withColumns(
+        {side: F.when(known, F.min(side).over(same_code)) for side in ("best", "worst")}
+    )
 
 
 def group_period_extremes(df: DataFrame, panel: Panel, totals: Mapping[str, Column]) -> DataFrame:
-    """One row per (group, period): entity count, totals, entities with the highest and lowest measure."""
-    periods = df.groupBy(*panel.groups, panel.period).agg(
+    """One row per (group, period): entity count, totals, entities with the highest and lowest measure.
+
+    Reads the table three times, each time only the columns needed, so it should be
+    a stored one. Rows without a group code get no best and worst.
+    """
+    counted = df.groupBy(*panel.groups, panel.period).agg(
         F.countDistinct(panel.entity).alias("entities"),
-        winner(panel.measure, panel.entity, panel.entity_name).alias("best"),
-        loser(panel.measure, panel.entity, panel.entity_name).alias("worst"),
         *[total.alias(name) for name, total in totals.items()],
     )
-    return _across_names(periods, [panel.group, panel.period], panel.group)
-
-
-def _across_names(summary: DataFrame, keys: Sequence[str], group: str) -> DataFrame:
-    """Best and worst taken over all rows of the keys; none where the group code is unknown."""
-    same_keys = Window.partitionBy(*keys)
-    known = F.col(group).isNotNull()
-    return summary.withColumns(
-        {name: F.when(known, F.min(name).over(same_keys)) for name in ("best", "worst")}
-    )
+    keys = [panel.group, panel.period]
+    found = extremes(df.dropna(subset=[panel.group]), keys, panel.measure, panel.entity, panel.entity_name)
+    return counted.join(found, keys, "left")

@@ -9,10 +9,9 @@ from panelspark.operators.aggregates import first_value, last_value, mean_percen
 from panelspark.operators.filters import exclude_values, require_not_null, split_by_flag
 from panelspark.operators.joins import join_dimension
 from panelspark.operators.project import rename, select_renamed
-from panelspark.plans.panel import Panel, entity_summary, group_period_extremes, group_summary
-from panelspark.plans.panel import with_growth as panel_with_growth
+from panelspark.plans import panel
 
-PANEL = Panel(measure="total_population")
+PANEL = panel.Panel(measure="total_population")
 
 # Fixed value: the identifier of the nation row.
 NATION_ID = "0"
@@ -107,10 +106,16 @@ def ratios() -> dict[str, Column]:
     }
 
 
-def with_growth(population: DataFrame) -> DataFrame:
-    growth = panel_with_growth(population, PANEL, "prev_year_population")
+def sequence(population: DataFrame, rows_per_task: int | None = None) -> DataFrame:
+    """By-year rows with growth, decline, shares and ratios: what the next tables are made of."""
+    growth = panel.sequence(population, PANEL, "prev_year_population", "decline_pct", rows_per_task)
     change = (F.col("total_population") - F.col("prev_year_population")).cast("int")
-    return growth.withColumns({"yoy_growth_absolute": change} | shares() | ratios()).select(
+    return growth.withColumns({"yoy_growth_absolute": change} | shares() | ratios())
+
+
+def with_growth(rows: DataFrame) -> DataFrame:
+    """The growth table, from ``sequence`` rows."""
+    return rows.select(
         *PANEL.keys,
         "year",
         "total_population",
@@ -126,14 +131,14 @@ def with_growth(population: DataFrame) -> DataFrame:
     )
 
 
-def county_summary(growth: DataFrame) -> DataFrame:
-    """One row per county, from the growth table."""
+def county_summary(rows: DataFrame) -> DataFrame:
+    """One row per county, from ``sequence`` rows."""
     extra = {
         "first": first_value("year", "total_population"),
         "last": last_value("year", "total_population"),
     } | {f"avg_{ratio}": mean_percent(ratio) for ratio in RATIOS}
     first, last = F.col("first.total_population"), F.col("last.total_population")
-    return entity_summary(growth, PANEL, extra).select(
+    return panel.entity_summary(rows, PANEL, extra, "decline_pct").select(
         *PANEL.keys,
         F.col("first.year").alias("first_year"),
         first.alias("first_year_population"),
@@ -145,7 +150,7 @@ def county_summary(growth: DataFrame) -> DataFrame:
         F.col("highest.year").alias("max_yoy_year"),
         F.col("lowest.yoy_growth_rate").alias("min_yoy_growth"),
         F.col("lowest.year").alias("min_yoy_year"),
-        F.col("deepest.drawdown_pct").alias("maximum_decline"),
+        F.col("deepest.decline_pct").alias("maximum_decline"),
         F.col("deepest.year").alias("maximum_decline_year"),
         *[f"avg_{ratio}" for ratio in RATIOS],
     )
@@ -153,7 +158,7 @@ def county_summary(growth: DataFrame) -> DataFrame:
 
 def state_summary(growth: DataFrame) -> DataFrame:
     """One row per state, from the growth table."""
-    return group_summary(growth, PANEL).select(
+    return panel.group_summary(growth, PANEL).select(
         *PANEL.groups,
         F.col("entities").alias("num_counties"),
         F.col("first_period").alias("first_year"),
@@ -187,7 +192,7 @@ def rollup_shares() -> dict[str, Column]:
 
 def by_state_by_year(population: DataFrame) -> DataFrame:
     """One row per state and year, from the by-year table."""
-    return group_period_extremes(population, PANEL, state_totals()).select(
+    return panel.group_period_extremes(population, PANEL, state_totals()).select(
         "state_name",
         "state_code",
         "year",

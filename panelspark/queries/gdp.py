@@ -3,11 +3,12 @@
 from pyspark.sql import functions as F
 
 from panelspark import schemas
+from panelspark.functions import growth_percent
 from panelspark.operators import aggregates as A
 from panelspark.operators import filters, joins, project, quality, ranking, sequence
-from panelspark.plans import gdp, panel
+from panelspark.plans import gdp
 from panelspark.queries.registry import SQL_VIEWS, query, sql_mean, sql_percent
-from panelspark.session import scratch_path
+from panelspark.session import scratch_path, written
 from panelspark.sinks.files import write_partitioned
 from panelspark.sources.files import scan_table
 from panelspark.testtables import dim_fips, gdp_raw, table
@@ -57,8 +58,12 @@ def _panel(spark, sf):
     return gdp.clean(_bronze(spark, sf))
 
 
+def _rows(spark, sf):
+    return gdp.sequence(_panel(spark, sf))
+
+
 def _growth(spark, sf):
-    return gdp.with_growth(_panel(spark, sf))
+    return gdp.with_growth(_rows(spark, sf))
 
 
 # --- tables ----------------------------------------------------------------
@@ -90,7 +95,7 @@ def gdp_with_growth(spark, sf):
       max(case when dd = 1 and drawdown_pct < 0 then year end) as maximum_draw_down_year
     from gdp_ranked group by {K}""")
 def gdp_county_summary(spark, sf):
-    return gdp.county_summary(_growth(spark, sf))
+    return gdp.county_summary(_rows(spark, sf))
 
 
 @query(f"""
@@ -120,7 +125,7 @@ def gdp_state_summary(spark, sf):
     left join ({sql_pick("gdp_panel", "state_code, year", "gdp_value", "asc")}) as w
       on s.state_code = w.state_code and s.year = w.year""")
 def gdp_by_state_by_year(spark, sf):
-    return gdp.by_state_by_year(_panel(spark, sf))
+    return gdp.by_state_by_year(written(_panel(spark, sf)))
 
 
 # --- scans, projections, filters -------------------------------------------
@@ -266,24 +271,22 @@ def window_lag(spark, sf):
     select fips_code, year, gdp_value, prev_year_gdp, yoy_growth_rate,
            gdp_value - prev_year_gdp as yoy_growth_absolute from gdp_growth""")
 def window_yoy_growth(spark, sf):
-    rows = _panel(spark, sf).select("fips_code", "year", "gdp_value")
-    growth = panel.with_growth(rows, gdp.PANEL, "prev_year_gdp")
-    return growth.withColumn("yoy_growth_absolute", F.col("gdp_value") - F.col("prev_year_gdp"))
+    change = (F.col("gdp_value") - F.col("prev_year_gdp")).alias("yoy_growth_absolute")
+    return _rows(spark, sf).select("fips_code", "year", "gdp_value", "prev_year_gdp", "yoy_growth_rate", change)
 
 
 @query("select fips_code, year, gdp_value, peak_gdp, drawdown_pct from gdp_growth")
 def window_running_peak(spark, sf):
-    rows = _panel(spark, sf).select("fips_code", "year", "gdp_value")
-    return panel.with_drawdown(rows, gdp.PANEL, "peak_gdp")
+    peak = sequence.running_peak("gdp_value", ["fips_code"], "year")
+    rows = _panel(spark, sf).select("fips_code", "year", "gdp_value").withColumn("peak_gdp", peak)
+    return rows.withColumn("drawdown_pct", growth_percent(F.col("gdp_value"), F.col("peak_gdp")))
 
 
 @query("""
     select fips_code, drawdown_pct as maximum_draw_down, year as maximum_draw_down_year
     from gdp_ranked where dd = 1 and drawdown_pct < 0""")
 def window_max_drawdown(spark, sf):
-    rows = _panel(spark, sf).select("fips_code", "year", "gdp_value")
-    deepest = panel.with_drawdown(rows, gdp.PANEL).groupBy("fips_code").agg(A.deepest("drawdown_pct", "year").alias("dd"))
-    fallen = deepest.filter("dd is not null")
+    fallen = _rows(spark, sf).groupBy("fips_code").agg(A.deepest("drawdown_pct", "year").alias("dd")).filter("dd is not null")
     return fallen.select(
         "fips_code",
         F.col("dd.drawdown_pct").alias("maximum_draw_down"),
@@ -319,13 +322,15 @@ def rank_worst_by_growth(spark, sf):
 @query("select state_code, year, county_name, gdp_value from "
        f"({sql_pick('gdp_panel', 'state_code, year', 'gdp_value', 'desc')}) as t")
 def rank_largest_by_period(spark, sf):
-    return ranking.best_in_group(_panel(spark, sf), ["state_code", "year"], "gdp_value", "fips_code", "county_name")
+    found = ranking.extremes(written(_panel(spark, sf)), ["state_code", "year"], "gdp_value", "fips_code", "county_name")
+    return found.select("state_code", "year", "best.county_name", "best.gdp_value")
 
 
 @query("select state_code, year, county_name, gdp_value from "
        f"({sql_pick('gdp_panel', 'state_code, year', 'gdp_value', 'asc')}) as t")
 def rank_smallest_by_period(spark, sf):
-    return ranking.worst_in_group(_panel(spark, sf), ["state_code", "year"], "gdp_value", "fips_code", "county_name")
+    found = ranking.extremes(written(_panel(spark, sf)), ["state_code", "year"], "gdp_value", "fips_code", "county_name")
+    return found.select("state_code", "year", "worst.county_name", "worst.gdp_value")
 
 
 # --- quality ---------------------------------------------------------------
@@ -365,12 +370,13 @@ def _sql_checks(name: str, expected: quality.Expectation) -> str:
 
 @query(" union all ".join(_sql_checks(name, expected) for name, expected in EXPECTATIONS.items()))
 def quality_report(spark, sf):
-    rows, growth = _panel(spark, sf), _growth(spark, sf)
+    rows = written(_panel(spark, sf))
+    sequenced = written(gdp.sequence(rows))
     tables = {
         "GDP_BY_YEAR": gdp.by_year(rows),
-        "GDP_WITH_GROWTH": growth,
-        "GDP_COUNTY_SUMMARY": gdp.county_summary(growth),
-        "GDP_STATE_SUMMARY": gdp.state_summary(growth),
+        "GDP_WITH_GROWTH": gdp.with_growth(sequenced),
+        "GDP_COUNTY_SUMMARY": gdp.county_summary(sequenced),
+        "GDP_STATE_SUMMARY": gdp.state_summary(sequenced),
         "GDP_BY_STATE_BY_YEAR": gdp.by_state_by_year(rows),
     }
     return quality.quality_report(tables, EXPECTATIONS)

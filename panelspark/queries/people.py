@@ -9,6 +9,7 @@ from panelspark.functions import growth_percent
 from panelspark.plans import population
 from panelspark.queries.gdp import sql_pick
 from panelspark.queries.registry import SQL_VIEWS, query, sql_mean, sql_percent
+from panelspark.session import written
 from panelspark.testtables import COUNTY_WIDTH, STATE_WIDTH, dim_fips, population_raw
 
 KEYS = population.PANEL.keys
@@ -105,8 +106,8 @@ def _panel(spark, sf):
     return population.clean(_county(spark, sf), dim_fips(spark, sf))
 
 
-def _growth(spark, sf):
-    return population.with_growth(_panel(spark, sf))
+def _rows(spark, sf):
+    return population.sequence(_panel(spark, sf))
 
 
 # --- tables ----------------------------------------------------------------
@@ -131,12 +132,12 @@ def population_by_year(spark, sf):
     select {K}, year, total_population, {SEXES}, working_age_population, prev_year_population, yoy_growth_rate,
            yoy_growth_absolute, {", ".join(_SHARES)}, dependency_ratio, elderly_ratio, youth_ratio from pop_growth""")
 def population_with_growth(spark, sf):
-    return _growth(spark, sf)
+    return population.with_growth(_rows(spark, sf))
 
 
 @query(f"select *, {TOTAL_GROWTH_SQL} as total_growth_pct from pop_summary")
 def population_county_summary(spark, sf):
-    return population.county_summary(_growth(spark, sf))
+    return population.county_summary(_rows(spark, sf))
 
 
 @query(f"""
@@ -151,7 +152,7 @@ def population_county_summary(spark, sf):
     left join ({sql_pick("pop_mean", "state_code", "avg_growth", "desc")}) as b on s.state_code = b.state_code
     left join ({sql_pick("pop_mean", "state_code", "avg_growth", "asc")}) as w on s.state_code = w.state_code""")
 def population_state_summary(spark, sf):
-    return population.state_summary(_growth(spark, sf))
+    return population.state_summary(_rows(spark, sf))
 
 
 @query(f"""
@@ -163,7 +164,7 @@ def population_state_summary(spark, sf):
     left join ({sql_pick("pop_panel", "state_code, year", "total_population", "asc")}) as w
       on s.state_code = w.state_code and s.year = w.year""")
 def population_by_state_by_year(spark, sf):
-    return population.by_state_by_year(_panel(spark, sf))
+    return population.by_state_by_year(written(_panel(spark, sf)))
 
 
 @query(f"""

@@ -33,3 +33,14 @@ def durable(df: DataFrame) -> DataFrame:
     """The rows written to the shared folder, lineage cut."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder and read back.
+
+    Unlike a checkpoint, the planner then knows their true size, and so broadcasts
+    them in a join only if they are small.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -23,11 +23,15 @@ def write_partitioned(df: DataFrame, path: str, partition: str) -> int:
     return seen.get["rows"]
 
 
-def write_table(df: DataFrame, path: str, order: Sequence[str] = ()) -> int:
-    """Replace a Parquet folder, rows in global order if one is given; returns the rows written."""
-    rows, seen = _counted(df)
-    if order:
-        rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+def write_table(df: DataFrame, path: str, order: Sequence[str] = (), placed: bool = False) -> int:
+    """Replace a Parquet folder, rows in global order if one is given; returns the rows written.
+
+    ``placed``: the rows already lie in ranges of the leading order columns and only
+    need sorting inside their partition.
+    """
+    if order and not placed:
+        df = df.repartitionByRange(*order)
+    rows, seen = _counted(df.sortWithinPartitions(*order) if order else df)
     rows.write.mode("overwrite").parquet(path, compression="snappy")
     return seen.get["rows"]
 

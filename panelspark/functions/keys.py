@@ -17,8 +17,9 @@ def file_base_name(path: Column) -> Column:
 
 
 def decoded_file_name(path: Column) -> Column:
-    """Base name with %XX escapes resolved; a literal plus sign stays a plus sign."""
-    return F.url_decode(F.replace(file_base_name(path), F.lit("+"), F.lit("%2B")))
+    """Base name with %XX escapes resolved; a plus sign and a name without escapes stay as they are."""
+    name = file_base_name(path)
+    return F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)
 
 
 def entity_key_from_file(path: Column, pattern: str = ENTITY_FILE_PATTERN) -> Column:

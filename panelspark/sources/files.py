@@ -66,7 +66,7 @@ def scan_wrapped_records(spark: SparkSession, path_glob: str, ddl: str = schemas
 
     A JSON document cannot be split, so each file is one row until its records are exploded.
     """
-    text = spark.read.option("wholetext", True).text(path_glob)
+    text = spark.read.text(path_glob, wholetext=True)
     is_list = F.ltrim("value").startswith("[")
     plain = F.from_json("value", f"array<struct<{ddl}>>")
     wrapped = F.from_json("value", f"struct<Data: array<struct<{ddl}>>>")["Data"]

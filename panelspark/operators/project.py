@@ -49,6 +49,11 @@ def normalize_to_schema(df: DataFrame, ddl: str) -> DataFrame:
     return df.select([field(f.name, f.dataType) for f in StructType.fromDDL(ddl)])
 
 
+def tag(df: DataFrame, column: str, value: str) -> DataFrame:
+    """The same text on every row of a batch."""
+    return df.withColumn(column, F.lit(value))
+
+
 def stamp_load_time(df: DataFrame, column: str = "processed_at") -> DataFrame:
     """The start time of the query as a column."""
     return df.withColumn(column, F.current_timestamp())

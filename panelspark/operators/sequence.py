@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
-from panelspark.session import durable
+from panelspark.session import written
 
 #: Rows of one entity that one task sorts without trouble.
 ROWS_PER_TASK = 4_000_000
@@ -64,7 +64,7 @@ def with_previous_and_peak_split(
     Counts rows per entity first (a job over the entity column). The list of hot
     entities is bounded by table rows / rows_per_task and is kept in the shared folder.
     """
-    hot = durable(entities_above(df, entity, rows_per_task))
+    hot = written(entities_above(df, entity, rows_per_task))
     if hot.isEmpty():
         return with_previous_and_peak(df, entity, period, value, previous, peak)
     is_hot = [F.col(f"facts.{c}").eqNullSafe(F.col(f"hot.{c}")) for c in entity]
@@ -83,7 +83,7 @@ def _sliced(
     # The random last key spreads rows that are equal in every other key; which of
     # them comes first does not change the result. Written out, so that all readers
     # below see the same borders.
-    sliced = durable(
+    sliced = written(
         df.withColumn("_tie", F.rand(7))
         .repartitionByRange(slices, *entity, period, value, "_tie")
         .withColumn("_slice", F.spark_partition_id())

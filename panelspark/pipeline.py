@@ -17,7 +17,14 @@ from panelspark.operators.quality import Expectation, quality_report, require_ro
 from panelspark.operators.sequence import ROWS_PER_TASK, entities_above
 from panelspark.plans import airquality, gdp, population
 from panelspark.sinks.files import write_partitioned, write_table
-from panelspark.sources.files import scan_csv, scan_dimension, scan_entity_csv, scan_json_dir, scan_table
+from panelspark.sources.files import (
+    scan_csv,
+    scan_dimension,
+    scan_entity_csv,
+    scan_json_dir,
+    scan_or_empty,
+    scan_table,
+)
 
 COUNTY_ORDER = ["state_code", "fips_code", "year"]
 
@@ -118,14 +125,23 @@ def consolidate_epa(spark: SparkSession, json_glob: str, out: str) -> int:
     return write_table(airquality.consolidate(scan_json_dir(spark, json_glob)), f"{out}/curated/all_epa_data")
 
 
+def gold_names(prefix: str) -> list[str]:
+    """Names of the gold tables of a flow."""
+    return [name for name in schemas.GOLD if name.startswith(prefix)]
+
+
 def gold_tables(spark: SparkSession, out: str, prefix: str) -> dict[str, DataFrame]:
-    """The written gold tables whose name starts with the prefix."""
-    names = [name for name in schemas.GOLD if name.startswith(prefix)]
-    return {name: scan_table(spark, f"{out}/gold/{name}", schemas.GOLD[name]) for name in names}
+    """The written gold tables of a flow; a missing one has no rows."""
+
+    def read(name: str) -> DataFrame:
+        ddl = schemas.GOLD[name]
+        return scan_or_empty(spark, lambda: scan_table(spark, f"{out}/gold/{name}", ddl), ddl)
+
+    return {name: read(name) for name in gold_names(prefix)}
 
 
 def check_gold(
     spark: SparkSession, out: str, prefix: str, expectations: Mapping[str, Expectation] | None = None
 ) -> DataFrame:
-    """The quality report over the gold tables of a flow; a missing table is an error."""
+    """The quality report over the gold tables of a flow; a missing table fails as an empty one does."""
     return quality_report(gold_tables(spark, out, prefix), expectations or {})

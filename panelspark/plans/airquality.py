@@ -11,6 +11,7 @@ from panelspark.functions.keys import COUNTY_WIDTH, STATE_WIDTH
 from panelspark.operators.aggregates import exact_mean
 from panelspark.operators.filters import coerce_numeric, keep_values, require_not_null
 from panelspark.operators.project import flatten_struct, normalize_names, normalize_to_schema, select_renamed
+from panelspark.session import written
 
 # The cities whose history is kept, as their names stand in the records.
 MAIN_CITIES = [
@@ -86,7 +87,19 @@ def last_batch(history: DataFrame) -> DataFrame:
 
 
 def latest_per_key(history: DataFrame, order: Sequence[str]) -> DataFrame:
-    """The latest value of every city and pollutant."""
-    return history.groupBy("TARGETCITY", "PARAMETERNAME").agg(
-        F.max_by("AQI", F.struct(*order)).alias("AQI")
+    """The latest value of every city and pollutant, by the order columns.
+
+    Rows pass a hash aggregation of the first order column; its result, one row per
+    city and pollutant, is written, and only the rows at that point are compared further.
+    """
+    keys = ["TARGETCITY", "PARAMETERNAME"]
+    rows = history.select(*keys, *order, "AQI")
+    newest = written(rows.groupBy(*keys).agg(F.max(order[0]).alias("newest")))
+    same = [F.col(f"rows.{k}").eqNullSafe(F.col(f"newest.{k}")) for k in keys]
+    same.append(F.col(f"rows.{order[0]}").eqNullSafe(F.col("newest.newest")))
+    return (
+        rows.alias("rows")
+        .join(newest.alias("newest"), same)
+        .groupBy(*[F.col(f"rows.{k}").alias(k) for k in keys])
+        .agg(F.max_by("AQI", F.struct(*order[1:], "AQI")).alias("AQI"))
     )

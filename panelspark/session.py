@@ -20,7 +20,7 @@ def checkpoint_root(spark: SparkSession) -> str:
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="panelspark-")
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        spark.sparkContext.setCheckpointDir(root)  # so that the next call finds the same folder
     return root.rstrip("/")
 
 
@@ -29,17 +29,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """The rows written to the shared folder, lineage cut."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint()
-
-
 def written(df: DataFrame) -> DataFrame:
-    """The rows written to the shared folder and read back.
+    """The rows written to the shared folder and read back: lineage cut, computed once.
 
-    Unlike a checkpoint, the planner then knows their true size, and so broadcasts
-    them in a join only if they are small.
+    The planner then knows their true size, and broadcasts them in a join only if
+    they are small.
     """
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)

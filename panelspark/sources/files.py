@@ -1,5 +1,7 @@
 """Typed scans of CSV, JSON, Parquet and text."""
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,20 +43,21 @@ def scan_json_dir(spark: SparkSession, path_glob: str, ddl: str | None = None) -
     return reader.json(path_glob).withColumn("source_file", F.col("_metadata.file_name"))
 
 
-def scan_observations(spark: SparkSession, path: str, ddl: str = schemas.AQI_OBSERVATION) -> DataFrame:
-    """One batch of observations; a missing or malformed file gives no rows."""
-    with_bad = f"{ddl}, _bad string"
+def scan_or_empty(spark: SparkSession, read: Callable[[], DataFrame], ddl: str) -> DataFrame:
+    """What the read returns, or no rows of the schema if its path does not exist."""
     try:
-        rows = (
-            spark.read.schema(with_bad)
-            .option("multiLine", True)
-            .option("columnNameOfCorruptRecord", "_bad")
-            .json(path)
-        )
+        return read()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], ddl)
+
+
+def scan_observations(spark: SparkSession, path: str, ddl: str = schemas.AQI_OBSERVATION) -> DataFrame:
+    """One batch of observations; a missing or malformed file gives no rows."""
+    with_bad = f"{ddl}, _bad string"
+    reader = spark.read.schema(with_bad).option("multiLine", True).option("columnNameOfCorruptRecord", "_bad")
+    rows = scan_or_empty(spark, lambda: reader.json(path), with_bad)
     fields = [F.col(f.name) for f in StructType.fromDDL(ddl)]
     # A malformed file comes back as one row with nothing but its text.
     malformed = F.col("_bad").isNotNull() & F.coalesce(*[f.cast("string") for f in fields]).isNull()

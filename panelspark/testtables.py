@@ -35,8 +35,22 @@ CITIES = [
 ]
 
 
+# Declared, so that reading a table starts no job to look into its files.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _state_code() -> Column:
@@ -66,7 +80,8 @@ def dim_fips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gdp_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     year = F.year("o_orderdate").alias("order_year")
-    spent = F.round(F.sum(F.col("o_totalprice").cast("decimal(18,2)"))).cast("long")
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")  # whole numbers: exact in any order
+    spent = F.round(F.sum(cents) / 100).cast("long")
     yearly = table(spark, sf_dir, "orders").groupBy("o_custkey", year).agg(spent.alias("gdp_value"))
     return yearly.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(
         F.concat(_state_code(), _county_code()).alias("fips_code"),

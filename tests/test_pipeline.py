@@ -63,6 +63,9 @@ def test_gdp_flow(spark, inputs, tmp_path, rows):
         require_passed(pipeline.check_gold(spark, out, "gdp", pipeline.GDP_EXPECTATIONS))
     assert {r.verdict for r in verdicts(report).collect()} == {"PASSED", "FAILED"}
 
+    missing = pipeline.check_gold(spark, out, "population")
+    assert {(r.observed, r.passed) for r in missing.collect()} == {(0, False)}
+
     declare_warehouse(spark)
     loads = export_tables(spark, {n.upper(): f"{out}/gold/{n}" for n in counts})
     assert all(load.loaded for load in loads)

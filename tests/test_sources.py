@@ -101,6 +101,10 @@ def test_flatten_without_the_struct_is_a_no_op(spark):
     assert airquality.flatten_observations(df).columns == ["ID"]
 
 
+def test_tag(spark):
+    assert [tuple(r) for r in project.tag(spark.range(1), "TargetCity", "Boston").collect()] == [(0, "Boston")]
+
+
 def test_flag_and_stamp(spark):
     df = spark.createDataFrame([(30,), (29,), (None,)], "age int")
     flagged = project.stamp_load_time(project.flag(df, F.col("age") >= 30, "senior"))

@@ -1,4 +1,5 @@
 import json
+import time
 
 from panelspark import schemas
 from panelspark.streaming import observations as O
@@ -97,7 +98,10 @@ def test_interval_trigger(spark, tmp_path):
         every=O.EVERY_20_MINUTES,
     )
     try:
-        query.processAllAvailable()
+        # The first batch runs at once, the next one in 20 minutes.
+        deadline = time.monotonic() + 60
+        while not query.recentProgress and time.monotonic() < deadline:
+            time.sleep(0.2)
         assert O.read_history(spark, str(tmp_path / "history")).count() == 1
     finally:
         query.stop()

@@ -13,13 +13,14 @@ CODE_LINE_PATTERN = r"^\s*(\d{5})\s+(.+)$"
 
 def file_base_name(path: Column) -> Column:
     """Last segment of a path."""
-    return F.element_at(F.split(path, "/"), -1)
+    return F.substring_index(path, "/", -1)
 
 
 def decoded_file_name(path: Column) -> Column:
     """Base name with %XX escapes resolved; a plus sign and a name without escapes stay as they are."""
     name = file_base_name(path)
-    return F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)
+    decoded = F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.when(name.contains("%"), F.coalesce(decoded, name)).otherwise(name)
 
 
 def entity_key_from_file(path: Column, pattern: str = ENTITY_FILE_PATTERN) -> Column:

@@ -45,8 +45,9 @@ def with_previous_and_peak(
 
 
 def entities_above(df: DataFrame, entity: Sequence[str], rows: int) -> DataFrame:
-    """Entities with more rows than that; at most (table rows / rows) of them."""
-    return df.groupBy(*entity).count().filter(F.col("count") > rows).select(*entity)
+    """Entities with more rows than that, and their row count; at most (table rows / rows) of them."""
+    sizes = df.groupBy(*entity).agg(F.count("*").alias("_rows"))
+    return sizes.filter(F.col("_rows") > rows)
 
 
 def with_previous_and_peak_split(
@@ -63,23 +64,24 @@ def with_previous_and_peak_split(
 
     Counts rows per entity first (a job over the entity column). The list of hot
     entities is bounded by table rows / rows_per_task and is kept in the shared folder.
+    Their rows are cut into slices of about rows_per_task rows.
     """
     hot = written(entities_above(df, entity, rows_per_task))
-    if hot.isEmpty():
+    hot_row_count = hot.agg(F.sum("_rows")).first()[0]
+    if not hot_row_count:
         return with_previous_and_peak(df, entity, period, value, previous, peak)
     is_hot = [F.col(f"facts.{c}").eqNullSafe(F.col(f"hot.{c}")) for c in entity]
     facts, hot = df.alias("facts"), F.broadcast(hot.alias("hot"))
     cold_rows = facts.join(hot, is_hot, "left_anti")
     hot_rows = facts.join(hot, is_hot, "left_semi")
     return with_previous_and_peak(cold_rows, entity, period, value, previous, peak).unionByName(
-        _sliced(hot_rows, entity, period, value, previous, peak, slices)
+        _sliced(hot_rows, entity, period, value, previous, peak, slices or -(-hot_row_count // rows_per_task))
     )
 
 
 def _sliced(
-    df: DataFrame, entity: Sequence[str], period: str, value: str, previous: str, peak: str, slices: int | None
+    df: DataFrame, entity: Sequence[str], period: str, value: str, previous: str, peak: str, slices: int
 ) -> DataFrame:
-    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The random last key spreads rows that are equal in every other key; which of
     # them comes first does not change the result. Written out, so that all readers
     # below see the same borders.

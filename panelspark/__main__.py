@@ -11,6 +11,11 @@ from panelspark.sinks.tables import declare_warehouse, export_tables
 from panelspark.streaming.observations import landed_observations, start_store
 
 
+def _places(spark: SparkSession, args: argparse.Namespace) -> None:
+    mapped, unmapped = pipeline.load_places(spark, args.input, args.names, args.out)
+    print(f"places: {mapped:,} codes with a name, {unmapped:,} without")
+
+
 def _gdp(spark: SparkSession, args: argparse.Namespace) -> None:
     bronze = pipeline.load_gdp(spark, args.input, args.dimension, args.out)
     print(f"bronze: {bronze.rows:,} rows, {bronze.unmapped:,} without a known place")
@@ -65,6 +70,7 @@ def main(argv: list[str]) -> None:
             sub.add_argument("--dimension", required=True, help="CSV file with the place names")
         return sub
 
+    flow("places", _places, source=True).add_argument("--names", required=True, help="JSON file of place names")
     flow("gdp", _gdp, source=True, dimension=True)
     flow("population", _population, source=True, dimension=True)
     flow("epa", _epa, source=True)

@@ -9,20 +9,23 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from panelspark import schemas
+from panelspark.operators.joins import build_dimension, unmapped_keys
 from panelspark.operators.quality import Expectation, quality_report, require_rows
 from panelspark.operators.sequence import ROWS_PER_TASK, entities_above
+from panelspark.places import state_names
 from panelspark.plans import airquality, gdp, population
-from panelspark.sinks.files import write_partitioned, write_table
+from panelspark.sinks.files import write_csv, write_partitioned, write_table
 from panelspark.sources.files import (
+    scan_code_list,
     scan_csv,
     scan_dimension,
     scan_entity_csv,
     scan_json_dir,
     scan_or_empty,
+    scan_place_names,
     scan_table,
 )
 
@@ -48,12 +51,21 @@ class Bronze:
 
 
 def load_gdp(spark: SparkSession, csv_glob: str, dimension_path: str, out: str) -> Bronze:
-    """Per-county CSV files to the bronze GDP table; unmapped rows are counted on the way."""
+    """Per-county CSV files to the bronze GDP table; rows without a known place are counted."""
     rows = gdp.bronze(scan_entity_csv(spark, csv_glob), scan_dimension(spark, dimension_path))
     path = f"{out}/bronze/gdp_data"
-    seen = Observation()
-    rows = rows.observe(seen, F.count_if(F.col("state_code").isNull()).alias("unmapped"))
-    return Bronze(path, write_partitioned(rows, path, "state_code"), seen.get["unmapped"])
+    count = write_partitioned(rows, path, "state_code")
+    unmapped = scan_table(spark, path, schemas.BRONZE_GDP).filter("state_code is null")  # one partition folder
+    return Bronze(path, count, unmapped.count())
+
+
+def load_places(spark: SparkSession, codes_path: str, names_path: str, out: str) -> tuple[int, int]:
+    """Code lines and place names to the dimension file; returns the codes with and without a name."""
+    codes = scan_code_list(spark, codes_path)
+    places = build_dimension(codes, scan_place_names(spark, names_path), state_names(spark))
+    write_csv(places.select("fips_code", "state_code", "state_name", "county_name", "county_code"), f"{out}/places")
+    written = scan_dimension(spark, f"{out}/places")
+    return written.count(), unmapped_keys(codes, written).count()
 
 
 def load_population(spark: SparkSession, csv_path: str, out: str) -> tuple[Bronze, Bronze]:

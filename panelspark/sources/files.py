@@ -90,6 +90,16 @@ def scan_code_list(spark: SparkSession, path: str) -> DataFrame:
     return parse_code_list(spark.read.text(path))
 
 
+def scan_place_names(spark: SparkSession, path: str) -> DataFrame:
+    """fips_code and full_name of a JSON list of [name, state, county] rows below a header row."""
+    rows = spark.read.text(path, wholetext=True).select(
+        F.posexplode(F.from_json("value", "array<array<string>>")).alias("line", "cells")
+    )
+    return rows.filter("line > 0").select(
+        F.concat(F.col("cells")[1], F.col("cells")[2]).alias("fips_code"), F.col("cells")[0].alias("full_name")
+    )
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A published table of the catalog."""
     return spark.table(name)

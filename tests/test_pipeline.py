@@ -1,5 +1,6 @@
 """Files to gold tables, twice, with a hot county and with the quality gate."""
 
+import json
 import random
 
 import pytest
@@ -8,6 +9,7 @@ from panelspark import pipeline, schemas
 from panelspark.operators.quality import Expectation, QualityError, require_passed, verdicts
 from panelspark.plans import gdp
 from panelspark.sinks.tables import declare_warehouse, export_tables
+from panelspark.sources.files import scan_dimension
 
 
 @pytest.fixture(scope="module")
@@ -90,6 +92,19 @@ def test_population_flow(spark, inputs, tmp_path):
     assert tables["population_by_year"].filter(f"{bands} <> total_population").isEmpty()
 
 
+def test_places_flow(spark, tmp_path):
+    (tmp_path / "codes.txt").write_text("01000  ALABAMA\n01001  Autauga\n03001  Nowhere\n72001  Adjuntas\n")
+    names = [["NAME", "state", "county"], ["Autauga County, Alabama", "01", "001"], ["Nowhere, X", "03", "001"]]
+    (tmp_path / "names.json").write_text(json.dumps(names, indent=1))
+    out = str(tmp_path / "out")
+    assert pipeline.load_places(spark, f"{tmp_path}/codes.txt", f"{tmp_path}/names.json", out) == (2, 1)
+    places = scan_dimension(spark, f"{out}/places").orderBy("fips_code")
+    assert [tuple(r) for r in places.collect()] == [
+        ("01001", "01", "Alabama", "Autauga County", "001"),
+        ("03001", "03", "State 03", "Nowhere", "001"),
+    ]
+
+
 def test_empty_bronze_stops_the_flow(spark, tmp_path):
     spark.createDataFrame([], schemas.BRONZE_GDP).write.parquet(f"{tmp_path}/bronze/gdp_data")
     with pytest.raises(QualityError, match="no rows"):

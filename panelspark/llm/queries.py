@@ -4,13 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelspark.llm import bpe
+from panelspark.llm import bpe, embeddings, simhash
 from panelspark.llm.tables import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+@query("op1_simhash")
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints over shingles of four words, linked at four differing bits or fewer."""
+    found = simhash.groups(table(spark, sf_dir, "documents"), width=4, distance=4)
+    return found.select("doc_id", simhash.hexadecimal("fingerprint").alias("fingerprint"), "component_id")
+
+
 @query("op3_byte_bpe")
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded: number of tokens, digests of the ids and of the decoded bytes."""
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), decoded=True))
+
+
+@query("op4_embedding_neighbours")
+def op4_embedding_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors linked at a cosine of 0.9 or more."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.9)

@@ -282,7 +282,7 @@ WITH p AS (
   SELECT page_id, html, hex, min(page_id) OVER (PARTITION BY hex) AS first FROM p
 )
 SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
-       array_to_string(list_transform(range(32), k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+       array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
          1 + (((('0x' || substr(hex, 5 * (k // 4) + 1, 5))::INTEGER >> (15 - 5 * (k % 4))::INTEGER) & 31)::INTEGER), 1)), '') AS payload_digest,
        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first THEN first END AS refers_to

@@ -199,3 +199,13 @@ def contaminated(
     share = F.col("n_matched") / F.col("n_windows")
     out = matched.withColumn("share", share).filter(F.col("share") >= least_share)
     return out.select(F.col("key").alias(key), F.col("item").alias("item_id"), "n_windows", "n_matched", "share", "reparameterised")
+
+
+def without(df: DataFrame, items: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", **settings) -> DataFrame:
+    """The rows of the table, all columns, whose text contains no item."""
+    uid = F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))
+    rows = df.select(uid.alias("uid"), F.col(text).cast("string").alias("text"))
+    found = contaminated(rows, items, "uid", "text", item, item_text, **settings)
+    bad = stored(found.select(F.col("uid").alias("bad")).distinct(), "contaminated")
+    own = df.withColumn("__uid", uid)
+    return own.join(bad, F.col("__uid") == F.col("bad"), "left_anti").select(*df.columns)

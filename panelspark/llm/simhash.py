@@ -209,5 +209,18 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     return prints.join(every, "fingerprint").select(F.col("key").alias(key), "fingerprint", "component_id")
 
 
+def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, distance: int = 4, parts: int = 3) -> DataFrame:
+    """The rows of the table, all columns, that represent their component: the smallest key, null last, then the smallest
+    digest of the text; rows that are equal in both stay once."""
+    whole = F.col(text).cast("string")
+    uid = F.md5(F.coalesce(whole, F.lit("")).cast("binary"))
+    rows = df.select(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), uid.alias("uid")).alias("id"), whole.alias("text"))
+    found = groups(rows, "id", "text", width, distance, parts).filter(F.col("id") == F.col("component_id"))
+    first = found.select("id.key", "id.uid").distinct()
+    own = df.withColumn("__uid", uid)
+    kept = own.join(first, (F.col("__uid") == F.col("uid")) & own[key].eqNullSafe(first["key"]), "left_semi")
+    return kept.dropDuplicates(["__uid", key]).select(*df.columns)
+
+
 def hexadecimal(fingerprint) -> F.Column:
     return F.lpad(F.lower(F.hex(fingerprint)), 16, "0")

@@ -156,7 +156,7 @@ WITH RECURSIVE turns AS (
   SELECT t.node, w.depth + 1, w.rooted FROM turns t JOIN walk w ON t.after = w.node
 ), calls AS (
   SELECT t.conv_id, t.node AS call_id, CASE role WHEN 'user' THEN 'ask' ELSE 'configure' END AS name, t.text, t.copies,
-         w.depth, w.rooted, len(list_filter(regexp_split_to_array(t.text, '[ \\t\\n\\r]+'), x -> x <> '')) AS words
+         w.depth, w.rooted, len(list_filter(regexp_split_to_array(t.text, '[ \\t\\n\\r]+'), lambda x: x <> '')) AS words
   FROM turns t JOIN walk w USING (node) WHERE role IN ('user', 'system')
 ), answers AS (
   SELECT conv_id::VARCHAR || ':' || (turn - 1)::VARCHAR AS call_id, min(text) AS content

@@ -99,7 +99,7 @@ def projected(classes: DataFrame, passes: int, bits: int, seed: int) -> DataFram
 
 
 def neighbour_pairs(classes: DataFrame, least: float, passes: int, bits: int, window: int, block: int, seed: int) -> DataFrame:
-    """(a, b), a < b: verified pairs at most ``window`` places apart in some pass.
+    """(a, b), a < b: verified pairs at most ``window`` places apart in some pass, enough to tie all of them together.
 
     Rows are placed by ranges of the sort key and blocked there. The first ``window`` rows of a partition also go to the
     partition before it, so that no pair is lost at a border.
@@ -137,10 +137,22 @@ def neighbour_pairs(classes: DataFrame, least: float, passes: int, bits: int, wi
 
 
 def _windows(batches, least, window, block):
-    """Compares each row with the ``window`` rows before it, as long as they are of the same place, pass and length."""
+    """Compares each row with the ``window`` rows before it, as long as they are of the same place, pass and length.
+
+    Of the pairs found in one pass of one place, those that close a circle are left out: the others already tie the same
+    classes together, and the links themselves are counted later.
+    """
     tail_names: list = []
     tail: np.ndarray | None = None
     tail_group = None
+    above: dict[str, str] = {}
+
+    def top(x: str) -> str:
+        while (y := above.get(x, x)) != x:
+            above[x] = above.get(y, y)
+            x = y
+        return x
+
     for whole in batches:
         for at in range(0, whole.num_rows, block):
             batch = whole.slice(at, block)
@@ -155,12 +167,18 @@ def _windows(batches, least, window, block):
                     vectors, ids = np.concatenate([tail, own]), tail_names + names[s:e]
                 else:
                     vectors, ids = own, names[s:e]
+                    above.clear()
                 old = len(ids) - (e - s)
                 near = vectors[old:] @ vectors.T
                 row, col = np.nonzero(near >= least)
                 row += old
                 keep = (col < row) & (row - col <= window)
-                pairs = [sorted((ids[i], ids[j])) for i, j in zip(row[keep], col[keep]) if ids[i] != ids[j]]
+                pairs = []
+                for i, j in zip(row[keep].tolist(), col[keep].tolist()):
+                    x, y = top(ids[i]), top(ids[j])
+                    if x != y:
+                        above[x] = y
+                        pairs.append(sorted((ids[i], ids[j])))
                 tail, tail_names, tail_group = vectors[-window:], ids[-window:], groups[s]
                 if pairs:
                     yield pa.array([p[0] for p in pairs]), pa.array([p[1] for p in pairs])

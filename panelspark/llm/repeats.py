@@ -150,7 +150,8 @@ def anchors_of(texts: DataFrame, symbols: Symbols) -> DataFrame:
         return pa.RecordBatch.from_arrays([uids, pa.array(h), pa.array(p), pa.array(back), pa.array(on)], ["uid", "h", "p", "back", "on"])
 
     found = stored(texts.select("uid", "data").mapInArrow(run, "uid binary, h long, p long, back int, on int"), "anchors")
-    counts = found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
+    # Written first: a join of two shuffled tables may split a hot gram, one with an aggregate may not.
+    counts = stored(found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1"), "grams")
     return stored(found.join(counts, "h").select("uid", "h", "p", (F.col("p") - F.col("back")).alias("a"), (F.col("p") + F.col("on")).alias("b"), "n"), "anchors")
 
 
@@ -247,7 +248,7 @@ def repeated_windows(texts: DataFrame, symbols: Symbols, place: Callable[[DataFr
             equal, rows = one_of_each(rows)
             parts.append(equal)
             rows = stored(split_rows(rows, symbols, block), "blocks")
-            counts = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+            counts = stored(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "cores")
             rows = stored(rows.join(counts, "key").select(*NAMES, "n"), "blocks")
             parts.append(solve_all(rows.filter(F.col("n") <= group).select(*NAMES), symbols, place, solver))
             rows = rows.filter(F.col("n") > group).select(*NAMES)

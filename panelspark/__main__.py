@@ -43,7 +43,11 @@ def _observations(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _check(spark: SparkSession, args: argparse.Namespace) -> None:
-    report = pipeline.check_gold(spark, args.out, args.flow, pipeline.GDP_EXPECTATIONS).persist()
+    if args.published:
+        report = pipeline.check_published(spark, args.flow, pipeline.GDP_EXPECTATIONS, args.database)
+    else:
+        report = pipeline.check_gold(spark, args.out, args.flow, pipeline.GDP_EXPECTATIONS)
+    report = report.persist()
     for row in verdicts(report).orderBy("table_name").collect():
         print(f"{row.table_name}: {row.verdict}")
     require_passed(report)
@@ -51,9 +55,13 @@ def _check(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _export(spark: SparkSession, args: argparse.Namespace) -> None:
     declare_warehouse(spark, args.database)
-    names = [n for n in pipeline.gold_names(args.flow) if n != "population_by_year"]
-    for load in export_tables(spark, {n.upper(): f"{args.out}/gold/{n}" for n in names}, args.database):
-        print(f"{load.table}: {'loaded' if load.loaded else load.reason}")
+    if args.flow == "observations":
+        loads = pipeline.publish_observations(spark, args.out, args.database)
+    else:
+        loads = export_tables(spark, pipeline.export_paths(args.out, args.flow), args.database)
+    for load in loads:
+        print(f"{load.table}: {f'{load.rows:,} rows' if load.loaded else load.reason}")
+    print(f"in all: {sum(load.rows for load in loads):,} rows")
 
 
 def main(argv: list[str]) -> None:
@@ -77,8 +85,11 @@ def main(argv: list[str]) -> None:
     flow("observations", _observations, source=True).add_argument("--every", help='interval, such as "20 minutes"')
     for name, run in (("check", _check), ("export", _export)):
         sub = flow(name, run)
-        sub.add_argument("--flow", choices=["gdp", "population"], required=True)
+        flows_of = ["gdp", "population"] + ["observations"] * (name == "export")
+        sub.add_argument("--flow", choices=flows_of, required=True)
         sub.add_argument("--database", default="default")
+        if name == "check":
+            sub.add_argument("--published", action="store_true", help="check the catalog tables, not the folders")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"panelspark-{args.command}").getOrCreate()
     try:

@@ -54,9 +54,16 @@ def profile(df: DataFrame, entity: str, period: str) -> DataFrame:
 
 
 def table_report(df: DataFrame, name: str, expected: Expectation) -> DataFrame:
-    """Rows (table_name, check_name, observed, expected, passed), one aggregation over the table."""
+    """Rows (table_name, check_name, observed, expected, passed), one aggregation over the table.
+
+    A key column that the table lacks fails its check, as if all its values were null.
+    """
     checks = {"min_rows": F.count("*")}
-    checks |= {f"no_nulls_{c}": F.count_if(F.col(c).isNull()) for c in expected.key_columns if c in df.columns}
+    absent = F.greatest(F.count("*"), F.lit(1))
+    given = {c.lower() for c in df.columns}
+    checks |= {
+        f"no_nulls_{c}": F.count_if(F.col(c).isNull()) if c.lower() in given else absent for c in expected.key_columns
+    }
     bounds = {name: 0 for name in checks} | {"min_rows": expected.min_rows}
     observed = df.agg(*[check.cast("long").alias(label) for label, check in checks.items()])
     stacked = observed.unpivot([], list(checks), "check_name", "observed")

@@ -6,9 +6,9 @@ periods give the same result on every run.
 ``with_previous_and_peak`` is one shuffle and one sort. It puts an entity into
 one task, which suits panels: an entity has one row per period there, so its rows
 are bounded by the calendar. Where an entity may hold any share of the table, use
-``with_previous_and_peak_split``: it measures the entities first and cuts the hot
-ones into slices of the sort order, each a task of its own; what crosses a slice
-border is one row per slice.
+``with_previous_and_peak_split``: all rows are cut into slices of the sort order,
+each a task of its own, whoever they belong to; what crosses a slice border is one
+row per slice.
 """
 
 from collections.abc import Sequence
@@ -19,10 +19,6 @@ from pyspark.sql.window import Window, WindowSpec
 
 from panelspark.session import written
 
-#: Rows of one entity that one task sorts without trouble.
-ROWS_PER_TASK = 4_000_000
-
-
 def _so_far(window: WindowSpec) -> WindowSpec:
     return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
@@ -44,12 +40,6 @@ def with_previous_and_peak(
     )
 
 
-def entities_above(df: DataFrame, entity: Sequence[str], rows: int) -> DataFrame:
-    """Entities with more rows than that, and their row count; at most (table rows / rows) of them."""
-    sizes = df.groupBy(*entity).agg(F.count("*").alias("_rows"))
-    return sizes.filter(F.col("_rows") > rows)
-
-
 def with_previous_and_peak_split(
     df: DataFrame,
     entity: Sequence[str],
@@ -57,39 +47,20 @@ def with_previous_and_peak_split(
     value: str,
     previous: str = "previous",
     peak: str = "peak",
-    rows_per_task: int = ROWS_PER_TASK,
     slices: int | None = None,
 ) -> DataFrame:
     """Same rows as ``with_previous_and_peak``, for tables where an entity can be hot.
 
-    Counts rows per entity first (a job over the entity column). The list of hot
-    entities is bounded by table rows / rows_per_task and is kept in the shared folder.
-    Their rows are cut into slices of about rows_per_task rows.
+    The rows, placed by ranges of (entity, period, value), are written to the shared
+    folder with the number of their slice, so that all readers see the same borders.
+    ``slices`` is the number of ranges, by default that of the session's shuffles.
     """
-    hot = written(entities_above(df, entity, rows_per_task))
-    hot_row_count = hot.agg(F.sum("_rows")).first()[0]
-    if not hot_row_count:
-        return with_previous_and_peak(df, entity, period, value, previous, peak)
-    is_hot = [F.col(f"facts.{c}").eqNullSafe(F.col(f"hot.{c}")) for c in entity]
-    facts, hot = df.alias("facts"), F.broadcast(hot.alias("hot"))
-    cold_rows = facts.join(hot, is_hot, "left_anti")
-    hot_rows = facts.join(hot, is_hot, "left_semi")
-    return with_previous_and_peak(cold_rows, entity, period, value, previous, peak).unionByName(
-        _sliced(hot_rows, entity, period, value, previous, peak, slices or -(-hot_row_count // rows_per_task))
-    )
-
-
-def _sliced(
-    df: DataFrame, entity: Sequence[str], period: str, value: str, previous: str, peak: str, slices: int
-) -> DataFrame:
     # The random last key spreads rows that are equal in every other key; which of
-    # them comes first does not change the result. Written out, so that all readers
-    # below see the same borders.
-    sliced = written(
-        df.withColumn("_tie", F.rand(7))
-        .repartitionByRange(slices, *entity, period, value, "_tie")
-        .withColumn("_slice", F.spark_partition_id())
-    )
+    # them comes first does not change the result.
+    keys = [*entity, period, value, "_tie"]
+    tied = df.withColumn("_tie", F.rand(7))
+    placed = tied.repartitionByRange(slices, *keys) if slices else tied.repartitionByRange(*keys)
+    sliced = written(placed.withColumn("_slice", F.spark_partition_id()))
     in_slice = Window.partitionBy("_slice", *entity).orderBy(period, value, "_tie")
     rows = sliced.withColumns(
         {
@@ -116,7 +87,7 @@ def _sliced(
     )
     same = [F.col("rows._slice") == F.col("carried._slice")]
     same += [F.col(f"rows.{c}").eqNullSafe(F.col(f"carried.{c}")) for c in entity]
-    joined = rows.alias("rows").join(F.broadcast(carried.alias("carried")), same, "left")
+    joined = rows.alias("rows").join(carried.alias("carried"), same, "left")
     starts = F.col("_first") & F.col("carried._continues").isNotNull()
     kept = [F.col(f"rows.{c}") for c in df.columns if c not in (previous, peak)]
     return joined.select(

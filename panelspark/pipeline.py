@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelspark import schemas
 from panelspark.operators.joins import build_dimension, unmapped_keys
-from panelspark.operators.quality import Expectation, quality_report, require_rows
-from panelspark.operators.sequence import ROWS_PER_TASK, entities_above
+from panelspark.operators.quality import Expectation, quality_report, require_rows, require_unique
 from panelspark.places import state_names
 from panelspark.plans import airquality, gdp, population
 from panelspark.sinks.files import write_csv, write_partitioned, write_table
+from panelspark.sinks.tables import WAREHOUSE, Load, load
 from panelspark.sources.files import (
     scan_code_list,
     scan_csv,
@@ -28,6 +28,7 @@ from panelspark.sources.files import (
     scan_place_names,
     scan_table,
 )
+from panelspark.streaming.observations import read_history, read_snapshot
 
 COUNTY_ORDER = ["state_code", "fips_code", "year"]
 
@@ -50,9 +51,14 @@ class Bronze:
     unmapped: int = 0
 
 
+def _dimension(spark: SparkSession, path: str) -> DataFrame:
+    """The dimension, if no code has two names: those would count their facts twice."""
+    return require_unique(scan_dimension(spark, path), ["fips_code"], "the dimension")
+
+
 def load_gdp(spark: SparkSession, csv_glob: str, dimension_path: str, out: str) -> Bronze:
     """Per-county CSV files to the bronze GDP table; rows without a known place are counted."""
-    rows = gdp.bronze(scan_entity_csv(spark, csv_glob), scan_dimension(spark, dimension_path))
+    rows = gdp.bronze(scan_entity_csv(spark, csv_glob), _dimension(spark, dimension_path))
     path = f"{out}/bronze/gdp_data"
     count = write_partitioned(rows, path, "state_code")
     unmapped = scan_table(spark, path, schemas.BRONZE_GDP).filter("state_code is null")  # one partition folder
@@ -79,47 +85,41 @@ def load_population(spark: SparkSession, csv_path: str, out: str) -> tuple[Bronz
     return county, state
 
 
-def build_gdp(spark: SparkSession, out: str, rows_per_task: int = ROWS_PER_TASK) -> dict[str, int]:
+def build_gdp(spark: SparkSession, out: str) -> dict[str, int]:
     """The five GDP gold tables from bronze; returns the rows written to each."""
     bronze = scan_table(spark, f"{out}/bronze/gdp_data", schemas.BRONZE_GDP)
     by_year = gdp.by_year(gdp.clean(require_rows(bronze, "bronze gdp_data")))
     counts = {"gdp_by_year": write_table(by_year, f"{out}/gold/gdp_by_year", COUNTY_ORDER)}
     by_year = scan_table(spark, f"{out}/gold/gdp_by_year", schemas.GDP_BY_YEAR)
-    return counts | _derived(by_year, out, "gdp", gdp, rows_per_task)
+    return counts | _derived(by_year, out, "gdp", gdp)
 
 
-def build_population(
-    spark: SparkSession, out: str, dimension_path: str, rows_per_task: int = ROWS_PER_TASK
-) -> dict[str, int]:
-    """The five population gold tables from bronze; returns the rows written to each."""
+def build_population(spark: SparkSession, out: str, dimension_path: str) -> dict[str, int]:
+    """The five population gold tables and the published bands from bronze; returns the rows written to each."""
     bronze = scan_table(spark, f"{out}/bronze/population_county", schemas.BRONZE_POPULATION_COUNTY)
-    known = population.clean(require_rows(bronze, "bronze population_county"), scan_dimension(spark, dimension_path))
+    known = population.clean(require_rows(bronze, "bronze population_county"), _dimension(spark, dimension_path))
     path = f"{out}/gold/population_by_year"
     counts = {"population_by_year": write_table(population.by_year(known), path, COUNTY_ORDER)}
     by_year = scan_table(spark, path, schemas.POPULATION_BY_YEAR)
-    return counts | _derived(by_year, out, "population", population, rows_per_task)
+    counts |= {"population_data": write_table(population.broad_bands(bronze), f"{out}/gold/population_data")}
+    return counts | _derived(by_year, out, "population", population)
 
 
-def _derived(by_year: DataFrame, out: str, name: str, plans, rows_per_task: int) -> dict[str, int]:
+def _derived(by_year: DataFrame, out: str, name: str, plans) -> dict[str, int]:
     """The four tables made of the by-year table.
 
-    Rows are placed in ranges of (state, county): that serves the window, the
-    summaries and the order of the written growth table with a single shuffle. A
-    table with a hot county cannot be placed that way; there the county is split.
+    Rows are placed in ranges of (state, county, year), however many a county has.
+    That is also the order of the written growth table.
     """
-    even = entities_above(by_year, ["fips_code"], rows_per_task).isEmpty()
-    if even:
-        rows = plans.sequence(by_year.repartitionByRange("state_code", "fips_code"))
-    else:
-        rows = plans.sequence(by_year, rows_per_task)
+    rows = plans.sequence(by_year, sliced=True)
     rows = rows.persist(StorageLevel.DISK_ONLY)
     try:
         return {
             f"{name}_with_growth": write_table(
-                plans.with_growth(rows), f"{out}/gold/{name}_with_growth", COUNTY_ORDER, placed=even
+                plans.with_growth(rows), f"{out}/gold/{name}_with_growth", COUNTY_ORDER
             ),
             f"{name}_county_summary": write_table(
-                plans.county_summary(rows), f"{out}/gold/{name}_county_summary", ["state_code", "fips_code"], placed=even
+                plans.county_summary(rows), f"{out}/gold/{name}_county_summary", ["state_code", "fips_code"]
             ),
             f"{name}_state_summary": write_table(
                 plans.state_summary(rows), f"{out}/gold/{name}_state_summary", ["state_code"]
@@ -157,3 +157,30 @@ def check_gold(
 ) -> DataFrame:
     """The quality report over the gold tables of a flow; a missing table fails as an empty one does."""
     return quality_report(gold_tables(spark, out, prefix), expectations or {})
+
+
+def export_paths(out: str, prefix: str) -> dict[str, str]:
+    """Declared table and folder of what a flow publishes."""
+    names = [n for n in gold_names(prefix) if n != "population_by_year"]
+    names += ["population_data"] * (prefix == "population")
+    return {n.upper(): f"{out}/gold/{n}" for n in names}
+
+
+def check_published(
+    spark: SparkSession, prefix: str, expectations: Mapping[str, Expectation] | None = None, database: str = "default"
+) -> DataFrame:
+    """The quality report over the catalog tables of a flow; a missing table fails as an empty one does."""
+
+    def read(name: str) -> DataFrame:
+        table = f"{database}.{name}"
+        return spark.table(table) if spark.catalog.tableExists(table) else spark.createDataFrame([], WAREHOUSE[name.upper()])
+
+    names = [path.rsplit("/", 1)[1] for path in export_paths("", prefix).values()]
+    return quality_report({name: read(name) for name in names}, expectations or {})
+
+
+def publish_observations(spark: SparkSession, out: str, database: str = "default") -> list[Load]:
+    """History and snapshot of the stream to their declared tables; the same again gives the same tables."""
+    history = read_history(spark, f"{out}/air_quality/history").drop("run", "batch_id")
+    current = read_snapshot(spark, f"{out}/air_quality/current")
+    return [load(history, f"{database}.AIR_QUALITY_13_CITIES"), load(current, f"{database}.AQI_REALTIME")]

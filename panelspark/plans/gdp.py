@@ -44,10 +44,10 @@ def by_year(gdp: DataFrame) -> DataFrame:
     return gdp.select(*PANEL.keys, "year", "date", "gdp_value")
 
 
-def sequence(gdp: DataFrame, rows_per_task: int | None = None) -> DataFrame:
+def sequence(gdp: DataFrame, sliced: bool = False) -> DataFrame:
     """By-year rows with the previous value, growth and drawdown: what the next tables are made of."""
     rows = gdp.select(*PANEL.keys, "year", "gdp_value")
-    return panel.sequence(rows, PANEL, "prev_year_gdp", rows_per_task=rows_per_task)
+    return panel.sequence(rows, PANEL, "prev_year_gdp", sliced=sliced)
 
 
 def with_growth(rows: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ class Panel:
         The labels depend on the entity, so they add no groups; with them the sort of
         the window also serves the aggregation by ``keys`` that follows.
         """
-        return [self.entity, self.entity_name, self.group, self.group_name]
+        return [self.group, self.entity, self.entity_name, self.group_name]
 
     @property
     def groups(self) -> list[str]:
@@ -48,20 +48,15 @@ class Panel:
 
 
 def sequence(
-    df: DataFrame, panel: Panel, previous: str, drawdown: str = "drawdown_pct", rows_per_task: int | None = None
+    df: DataFrame, panel: Panel, previous: str, drawdown: str = "drawdown_pct", sliced: bool = False
 ) -> DataFrame:
     """The rows with the entity's preceding measure, the growth from it, and the distance from the peak so far.
 
-    Without ``rows_per_task`` the table must have few rows per entity, as a panel
-    with one row per entity and period has. With it, entities above that size are
-    looked for and split.
+    By default an entity must have few rows, as in a panel with one row per entity and
+    period. With ``sliced`` it may have any number.
     """
-    if rows_per_task is None:
-        rows = with_previous_and_peak(df, panel.sequence, panel.period, panel.measure, previous, "_peak")
-    else:
-        rows = with_previous_and_peak_split(
-            df, panel.sequence, panel.period, panel.measure, previous, "_peak", rows_per_task
-        )
+    step = with_previous_and_peak_split if sliced else with_previous_and_peak
+    rows = step(df, panel.sequence, panel.period, panel.measure, previous, "_peak")
     measure = F.col(panel.measure)
     return rows.withColumns(
         {

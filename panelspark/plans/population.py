@@ -106,9 +106,9 @@ def ratios() -> dict[str, Column]:
     }
 
 
-def sequence(population: DataFrame, rows_per_task: int | None = None) -> DataFrame:
+def sequence(population: DataFrame, sliced: bool = False) -> DataFrame:
     """By-year rows with growth, decline, shares and ratios: what the next tables are made of."""
-    growth = panel.sequence(population, PANEL, "prev_year_population", "decline_pct", rows_per_task)
+    growth = panel.sequence(population, PANEL, "prev_year_population", "decline_pct", sliced)
     change = (F.col("total_population") - F.col("prev_year_population")).cast("int")
     return growth.withColumns({"yoy_growth_absolute": change} | shares() | ratios())
 

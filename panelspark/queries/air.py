@@ -197,17 +197,47 @@ def _stored(spark, sf):
     rows = observation_records(observations(landed))
     folder = scratch_path(spark, "aqi")
     running = stream.start_store(rows, f"{folder}/history", f"{folder}/snapshot", f"{folder}/checkpoint")
-    running.awaitTermination()
+    _finish(running)
+    return f"{folder}/history", f"{folder}/snapshot"
+
+
+def _finish(running, seconds=3600):
+    if not running.awaitTermination(seconds):
+        running.stop()
+        raise TimeoutError(f"the stream did not end in {seconds} seconds")
+
+
+def _stored_in_three(spark, sf):
+    """The events of each third of the day landed and stored one after another: three batches of one store."""
+    events, folder = table(spark, sf, "events"), scratch_path(spark, "aqi")
+    for third in range(3):
+        part = events.filter(F.floor(F.hour("ts") / 8) == third)
+        part.write.mode("append").parquet(f"{folder}/landed")
+        landed = spark.readStream.schema(events.schema).parquet(f"{folder}/landed")
+        rows = observation_records(observations(landed))
+        _finish(stream.start_store(rows, f"{folder}/history", f"{folder}/snapshot", f"{folder}/checkpoint"))
     return f"{folder}/history", f"{folder}/snapshot"
 
 
 @query("select *, cast(0 as bigint) as batch_id from aqi_stored")
 def aqi_stream_history(spark, sf):
     """All events through the stream, stored as one batch, since they lie in one file."""
-    return stream.read_history(spark, _stored(spark, sf)[0])
+    return stream.read_history(spark, _stored(spark, sf)[0]).drop("run")
 
 
 @query("select TARGETCITY as CITY, PARAMETERNAME as POLLUTANT_TYPE, AQI as VALUE from aqi_stored")
 def aqi_stream_snapshot(spark, sf):
     """The snapshot after the stream: the rows of its only batch."""
     return stream.read_snapshot(spark, _stored(spark, sf)[1])
+
+
+@query("select *, cast(floor(HOUROBSERVED / 8) as bigint) as batch_id from aqi_stored")
+def aqi_stream_history_in_batches(spark, sf):
+    """All events, stored in three batches."""
+    return stream.read_history(spark, _stored_in_three(spark, sf)[0]).drop("run")
+
+
+@query("select TARGETCITY as CITY, PARAMETERNAME as POLLUTANT_TYPE, AQI as VALUE from aqi_stored where HOUROBSERVED >= 16")
+def aqi_stream_snapshot_of_last_batch(spark, sf):
+    """The snapshot after three batches: the rows of the last."""
+    return stream.read_snapshot(spark, _stored_in_three(spark, sf)[1])

@@ -28,11 +28,6 @@ def parse_code_list(spark, sf):
     return parsed_codes(code_lines(spark, sf))
 
 
-@query("select fips_code, state_code, state_name, county_name, county_code from dim_fips")
-def scan_dimension(spark, sf):
-    return dim_fips(spark, sf).select("fips_code", "state_code", "state_name", "county_name", "county_code")
-
-
 @query("""
     select d.fips_code, d.state_code, coalesce(s.state_name, 'State ' || d.state_code) as state_name,
            d.county_name, d.county_code

@@ -302,9 +302,8 @@ def window_max_drawdown(spark, sf):
 def window_hot_entities(spark, sf):
     """Previous value and peak where each of three entities holds a third of all rows."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    rows_per_task = min(sequence.ROWS_PER_TASK, orders.count() // 16)  # small tables are cut as well
     return sequence.with_previous_and_peak_split(
-        orders, ["o_orderstatus"], "o_orderkey", "o_totalprice", "previous_price", "peak_price", rows_per_task
+        orders, ["o_orderstatus"], "o_orderkey", "o_totalprice", "previous_price", "peak_price"
     )
 
 

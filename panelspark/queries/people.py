@@ -185,7 +185,7 @@ def population_data(spark, sf):
     union all
     select 'state', count(*), cast(sum(Total_Population) as bigint) from pop_coded where is_state_level""")
 def split_levels(spark, sf):
-    states, counties = split_by_flag(_coded(spark, sf), "is_state_level")
+    states, counties = split_by_flag(written(_coded(spark, sf)), "is_state_level")
 
     def sized(df, level):
         return df.agg(F.count("*").alias("row_count"), F.sum("Total_Population").alias("total")).select(

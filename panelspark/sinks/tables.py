@@ -4,11 +4,12 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from panelspark import schemas
 from panelspark.operators.project import normalize_to_schema
-from panelspark.operators.quality import require_unique
+from panelspark.operators.quality import QualityError, require_unique
 
 #: Declared warehouse tables and their columns.
 WAREHOUSE = {
@@ -29,6 +30,7 @@ class Load:
     table: str
     loaded: bool
     reason: str = ""
+    rows: int = 0
 
 
 def declare_table(spark: SparkSession, name: str, ddl: str) -> None:
@@ -50,14 +52,26 @@ def replace_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
-def reload_table(df: DataFrame, name: str) -> bool:
-    """Replace the rows and keep the definition; an empty input leaves the table alone."""
+def reload_table(df: DataFrame, name: str) -> int:
+    """Replace the rows, keep the definition, return the rows; an empty input leaves the table alone.
+
+    A column that the input lacks, or a value that its declared type cannot hold, is an error.
+    """
     if df.isEmpty():
-        return False
+        return 0
     declared = df.sparkSession.table(name).schema
+    given = {c.lower() for c in df.columns}
+    if missing := [f.name for f in declared if f.name.lower() not in given]:
+        raise QualityError(f"rows for {name} lack {', '.join(missing)}")
+    lost = [F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()) for f in declared]
+    found = df.agg(*lost).first()
+    if bad := [f"{f.name} ({n})" for f, n in zip(declared, found) if n]:
+        raise QualityError(f"values that {name} cannot hold: {', '.join(bad)}")
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in declared)
-    normalize_to_schema(df, ddl).write.insertInto(name, overwrite=True)
-    return True
+    seen = Observation()
+    rows = normalize_to_schema(df, ddl).observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows.write.insertInto(name, overwrite=True)
+    return seen.get["rows"]
 
 
 def export_tables(spark: SparkSession, paths: Mapping[str, str], database: str = "default") -> list[Load]:
@@ -72,6 +86,12 @@ def _export(spark: SparkSession, name: str, path: str, key: list[str] | None) ->
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return Load(name, False, "not found")
+    return load(rows, name, key)
+
+
+def load(rows: DataFrame, name: str, key: list[str] | None = None) -> Load:
+    """Reload one declared table, after the check of its key."""
     if key:
         require_unique(rows, key, name)
-    return Load(name, True) if reload_table(rows, name) else Load(name, False, "empty")
+    count = reload_table(rows, name)
+    return Load(name, True, rows=count) if count else Load(name, False, "empty")

@@ -23,8 +23,13 @@ def scan_entity_csv(spark: SparkSession, path_glob: str, ddl: str = schemas.GDP_
 
 
 def scan_dimension(spark: SparkSession, path: str, ddl: str = schemas.DIMENSION) -> DataFrame:
-    """The five-column dimension under its lower-case names."""
-    return scan_csv(spark, path, ddl)
+    """The columns of the dimension, found by their header names in any order and case; others are left out."""
+    rows = spark.read.option("header", True).csv(path)  # text columns; reads the header lines
+    given = {name.strip().lower(): name for name in rows.columns}
+    wanted = StructType.fromDDL(ddl)
+    if missing := [f.name for f in wanted if f.name.lower() not in given]:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return rows.select([F.col(f"`{given[f.name.lower()]}`").cast(f.dataType).alias(f.name) for f in wanted])
 
 
 def scan_table(spark: SparkSession, path: str, ddl: str) -> DataFrame:
@@ -57,9 +62,12 @@ def scan_observations(spark: SparkSession, path: str, ddl: str = schemas.AQI_OBS
     """One batch of observations; a missing or malformed file gives no rows."""
     with_bad = f"{ddl}, _bad string"
     reader = spark.read.schema(with_bad).option("multiLine", True).option("columnNameOfCorruptRecord", "_bad")
-    rows = scan_or_empty(spark, lambda: reader.json(path), with_bad)
+    return without_malformed(scan_or_empty(spark, lambda: reader.json(path), with_bad), ddl)
+
+
+def without_malformed(rows: DataFrame, ddl: str) -> DataFrame:
+    """The rows without their ``_bad`` column and without malformed files: those are one row with nothing but its text."""
     fields = [F.col(f.name) for f in StructType.fromDDL(ddl)]
-    # A malformed file comes back as one row with nothing but its text.
     malformed = F.col("_bad").isNotNull() & F.coalesce(*[f.cast("string") for f in fields]).isNull()
     return rows.filter(~malformed).drop("_bad")
 

@@ -1,45 +1,79 @@
 """Air-quality observations as a stream: an append-only history and a current snapshot.
 
 Landed files are read by a file stream. Each micro-batch writes the folder
-``batch_id=<n>`` of the history, so that a batch that runs again after a failure
-replaces itself, and then the snapshot, so that a snapshot never shows rows the
-history lacks.
+``run=<id>/batch_id=<n>`` of the history. The id belongs to the checkpoint, so a
+batch that runs again after a failure replaces itself, and a store that starts
+with a new checkpoint, whose numbers begin at 0 again, adds to the history.
+
+A snapshot is a folder of its own; a row in a small pointer table says which one
+counts. Readers see the old snapshot until that row is committed, and a snapshot
+never shows rows the history lacks. One store at a time writes to a folder.
 """
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from panelspark import schemas
 from panelspark.plans.airquality import history_rows, snapshot_rows
+from panelspark.session import remove
+from panelspark.sources.files import scan_or_empty, without_malformed
 
 # The two cadences in use.
 EVERY_20_MINUTES = "20 minutes"
 EVERY_HOUR = "60 minutes"
 
-HISTORY_READ = f"{schemas.AQI_HISTORY}, batch_id bigint"
+HISTORY_READ = f"{schemas.AQI_HISTORY}, run string, batch_id bigint"
+POINTER = "seq bigint, version string"
 
 
 def landed_observations(
     spark: SparkSession, path: str, ddl: str = schemas.AQI_OBSERVATION, files_per_batch: int | None = None
 ) -> DataFrame:
-    """A stream over JSON files (objects or arrays) as they land under the path."""
-    reader = spark.readStream.schema(ddl).option("multiLine", True).option("recursiveFileLookup", True)
+    """A stream over JSON files (objects or arrays) as they land under the path; malformed files give no rows."""
+    reader = spark.readStream.schema(f"{ddl}, _bad string").option("columnNameOfCorruptRecord", "_bad")
+    reader = reader.option("multiLine", True).option("recursiveFileLookup", True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(path)
+    return without_malformed(reader.json(path), ddl)
 
 
-def store_batch(batch: DataFrame, batch_id: int, history_path: str, snapshot_path: str) -> None:
+def store_batch(batch: DataFrame, batch_id: int, history_path: str, snapshot_path: str, run: str = "0") -> None:
     """Append one batch to the history and make it the snapshot; an empty batch changes nothing."""
     spark = batch.sparkSession
-    rows = history_rows(batch).filter(F.coalesce("TARGETCITY", "PARAMETERNAME", "DATEOBSERVED").isNotNull())
+    rows = history_rows(batch)
     if rows.isEmpty():
         return
-    folder = f"{history_path}/batch_id={batch_id}"
+    folder = f"{history_path}/run={run}/batch_id={batch_id}"
     rows.write.mode("overwrite").parquet(folder)
+    version = uuid.uuid4().hex
     stored = spark.read.schema(schemas.AQI_HISTORY).parquet(folder)
-    snapshot_rows(stored).write.mode("overwrite").parquet(snapshot_path)
+    snapshot_rows(stored).write.parquet(f"{snapshot_path}/versions/{version}")
+    before = _pointers(spark, snapshot_path)
+    last = before.agg(F.max("seq")).first()[0] or 0
+    old = [r.version for r in before.filter(F.col("seq") == last - 1).collect()]
+    row = spark.createDataFrame([(last + 1, version)], POINTER)
+    row.coalesce(1).write.mode("append").parquet(f"{snapshot_path}/pointer")
+    for gone in old:  # two back: readers of the one before may still be at work
+        remove(spark, f"{snapshot_path}/versions/{gone}")
+
+
+def _pointers(spark: SparkSession, snapshot_path: str) -> DataFrame:
+    path = f"{snapshot_path}/pointer"
+    return scan_or_empty(spark, lambda: spark.read.schema(POINTER).parquet(path), POINTER)
+
+
+def run_id(spark: SparkSession, checkpoint_path: str) -> str:
+    """The id of the store that this checkpoint belongs to, made and kept beside it at its first start."""
+    path = f"{checkpoint_path}/store"
+    found = scan_or_empty(spark, lambda: spark.read.schema("value string").text(path), "value string").first()
+    if found:
+        return found.value
+    own = uuid.uuid4().hex
+    spark.createDataFrame([(own,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return own
 
 
 def start_store(
@@ -50,20 +84,25 @@ def start_store(
     every: str | None = None,
 ) -> StreamingQuery:
     """Run the store: once over all landed files, or for good at the given interval."""
-    writer = observations.writeStream.option("checkpointLocation", checkpoint_path).foreachBatch(
-        lambda batch, batch_id: store_batch(batch, batch_id, history_path, snapshot_path)
+    run = run_id(observations.sparkSession, checkpoint_path)
+    writer = observations.writeStream.option("checkpointLocation", f"{checkpoint_path}/stream").foreachBatch(
+        lambda batch, batch_id: store_batch(batch, batch_id, history_path, snapshot_path, run)
     )
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.trigger(**trigger).start()
 
 
 def read_history(spark: SparkSession, history_path: str) -> DataFrame:
-    """All stored observations with the batch they came in."""
+    """All stored observations with the run and the batch they came in."""
     return spark.read.schema(HISTORY_READ).parquet(history_path)
 
 
 def read_snapshot(spark: SparkSession, snapshot_path: str) -> DataFrame:
-    return spark.read.schema(schemas.AQI_SNAPSHOT).parquet(snapshot_path)
+    """The rows of the snapshot that counts; none before the first."""
+    newest = _pointers(spark, snapshot_path).agg(F.max_by("version", "seq")).first()[0]
+    if newest is None:
+        return spark.createDataFrame([], schemas.AQI_SNAPSHOT)
+    return spark.read.schema(schemas.AQI_SNAPSHOT).parquet(f"{snapshot_path}/versions/{newest}")
 
 
 def latest_stream(history: DataFrame) -> DataFrame:

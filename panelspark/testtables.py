@@ -111,13 +111,22 @@ def population_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def population_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counties, states and the nation from one pass over the base: each of its rows counts at three levels."""
     base = population_base(spark, sf_dir)
-    sums = [F.sum(c).alias(c) for c in base.columns[4:]]
-    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nk"), F.col("n_name").alias("location"))
+    counted = base.columns[4:]
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nk"), F.col("n_name").alias("state"))
     state_id = (F.col("nk").cast("long") + 1) * COUNTY_BASE
-    counties = base.withColumn("id", (state_id + F.col("ck") + 1).cast("string"))
-    states = base.groupBy("nk", "yr").agg(*sums).join(nation, "nk").withColumn("id", state_id.cast("string"))
-    country = base.groupBy("yr").agg(*sums).withColumns({"id": F.lit("0"), "location": F.lit("U.S.")})
+
+    def place(code: Column, name: Column) -> Column:
+        return F.struct(code.cast("string").alias("id"), name.alias("location"))
+
+    levels = F.array(
+        place(state_id + F.col("ck") + 1, F.col("location")),
+        place(state_id, F.col("state")),
+        place(F.lit(0), F.lit("U.S.")),
+    )
+    placed = base.join(nation, "nk").select(F.explode(levels).alias("place"), "yr", *counted)
+    rows = placed.groupBy("place.id", "place.location", "yr").agg(*[F.sum(c).alias(c) for c in counted])
 
     def wide(df: DataFrame) -> DataFrame:
         return df.select(
@@ -138,7 +147,7 @@ def population_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("tot") - F.col("male")).alias("Female_Population"),
         )
 
-    return wide(counties).unionByName(wide(states)).unionByName(wide(country))
+    return wide(rows)
 
 
 def aqi_obs(spark: SparkSession, sf_dir: str) -> DataFrame:

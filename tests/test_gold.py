@@ -110,7 +110,7 @@ def test_extremes_when_nothing_can_be_broadcast(spark, by_year, rows):
 
 def test_hot_county_split_gives_the_same_tables(spark, by_year, rows):
     plain = gdp.sequence(by_year)
-    split = gdp.sequence(by_year, rows_per_task=2)
+    split = gdp.sequence(by_year, sliced=True)
     assert rows(gdp.county_summary(split)) == rows(gdp.county_summary(plain))
     assert rows(gdp.with_growth(split)) == rows(gdp.with_growth(plain))
 

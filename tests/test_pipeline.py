@@ -73,9 +73,9 @@ def test_gdp_flow(spark, inputs, tmp_path, rows):
     assert all(load.loaded for load in loads)
     assert rows(spark.table("GDP_STATE_SUMMARY")) == rows(tables["gdp_state_summary"])
 
-    # The same flow again replaces every table; a hot county changes nothing but the plan.
+    # The same flow again replaces every table.
     first = {name: rows(df) for name, df in tables.items()}
-    assert pipeline.build_gdp(spark, out, rows_per_task=5) == counts
+    assert pipeline.build_gdp(spark, out) == counts
     assert {name: rows(df) for name, df in pipeline.gold_tables(spark, out, "gdp").items()} == first
 
 
@@ -92,6 +92,48 @@ def test_population_flow(spark, inputs, tmp_path):
     assert tables["population_by_year"].filter(f"{bands} <> total_population").isEmpty()
 
 
+def test_published_tables_are_checked(spark, inputs, tmp_path):
+    out = str(tmp_path)
+    spark.sql("create database if not exists published")
+    pipeline.load_population(spark, f"{inputs}/people.csv", out)
+    pipeline.build_population(spark, out, f"{inputs}/dim.csv")
+    declare_warehouse(spark, "published")
+    loads = export_tables(spark, pipeline.export_paths(out, "population"), "published")
+    assert {load.table: load.rows for load in loads}["published.POPULATION_DATA"] == 60
+    report = pipeline.check_published(spark, "population", {"population_data": Expectation(60, ("FIPS_CODE",))}, "published")
+    assert {r.verdict for r in verdicts(report).collect()} == {"PASSED"}
+    spark.sql("drop table published.POPULATION_COUNTY_SUMMARY")
+    spark.sql("insert into published.POPULATION_DATA (YEAR) values (1)")
+    wanted = {"population_data": Expectation(99, ("FIPS_CODE",)), "population_with_growth": Expectation(10, ("nowhere",))}
+    report = pipeline.check_published(spark, "population", wanted, "published")
+    assert {(r.table_name, r.check_name) for r in report.filter("not passed").collect()} == {
+        ("population_data", "min_rows"),
+        ("population_data", "no_nulls_FIPS_CODE"),
+        ("population_county_summary", "min_rows"),
+        ("population_with_growth", "no_nulls_nowhere"),
+    }
+
+
+def test_a_repeated_dimension_key_stops_the_flow(spark, inputs, tmp_path):
+    (tmp_path / "dim.csv").write_text((inputs / "dim.csv").read_text() + "\n01001,01,State 01,Another name,001\n")
+    with pytest.raises(QualityError, match="repeats a key"):
+        pipeline.load_gdp(spark, f"{inputs}/gdp/gdpall*.csv", f"{tmp_path}/dim.csv", str(tmp_path))
+
+
+def test_observations_are_published(spark, tmp_path):
+    from panelspark.streaming import observations as stream
+
+    rows = spark.createDataFrame([("2024-01-01", 1, None, None, None, None, None, "NO2", 7, (1, "Good"), "Boston")], schemas.AQI_OBSERVATION)
+    root = f"{tmp_path}/air_quality"
+    for batch in range(2):
+        stream.store_batch(rows, batch, f"{root}/history", f"{root}/current")
+    spark.sql("create database if not exists published")
+    declare_warehouse(spark, "published")
+    for _ in range(2):
+        assert [load.rows for load in pipeline.publish_observations(spark, str(tmp_path), "published")] == [2, 1]
+    assert spark.table("published.AIR_QUALITY_13_CITIES").count() == 2
+
+
 def test_places_flow(spark, tmp_path):
     (tmp_path / "codes.txt").write_text("01000  ALABAMA\n01001  Autauga\n03001  Nowhere\n72001  Adjuntas\n")
     names = [["NAME", "state", "county"], ["Autauga County, Alabama", "01", "001"], ["Nowhere, X", "03", "001"]]

@@ -45,21 +45,22 @@ def test_plain(spark, skewed):
 @pytest.mark.parametrize("slices", [1, 3, 16])
 def test_split(spark, skewed, slices):
     df = spark.createDataFrame(skewed, DDL).repartition(5)
-    split = S.with_previous_and_peak_split(df, ["e"], "p", "v", rows_per_task=50, slices=slices)
+    split = S.with_previous_and_peak_split(df, ["e"], "p", "v", slices=slices)
     found = [tuple(r) for r in split.collect()]
     assert sorted(found, key=key) == sorted(brute_force(skewed), key=key)
 
 
-def test_split_without_a_hot_entity_is_the_plain_plan(spark):
-    df = spark.createDataFrame([("a", 1, 5), ("a", 2, 3)], DDL)
-    found = S.with_previous_and_peak_split(df, ["e"], "p", "v").collect()
-    assert sorted(tuple(r) for r in found) == [("a", 1, 5, None, 5), ("a", 2, 3, 5, 5)]
+@pytest.mark.parametrize("count", [0, 1, 5])
+def test_split_of_few_rows(spark, count):
+    rows = [("a", n, 10 - n) for n in range(count)]
+    found = S.with_previous_and_peak_split(spark.createDataFrame(rows, DDL), ["e"], "p", "v").collect()
+    assert sorted(tuple(r) for r in found) == brute_force(rows)
 
 
 def test_split_spreads_a_hot_entity(spark):
     """No slice of a table with a single entity holds much more than its share."""
     df = spark.range(40_000).selectExpr("'x' e", "cast(id % 7 as int) p", "cast(1 as bigint) v")
-    split = S.with_previous_and_peak_split(df, ["e"], "p", "v", rows_per_task=100, slices=8)
+    split = S.with_previous_and_peak_split(df, ["e"], "p", "v", slices=8)
     assert split.count() == 40_000
     sizes = (
         df.selectExpr("*", "rand(7) t").repartitionByRange(8, "e", "p", "v", "t").selectExpr("spark_partition_id() s")
@@ -69,6 +70,6 @@ def test_split_spreads_a_hot_entity(spark):
 
 
 def test_invariants(spark, skewed):
-    df = S.with_previous_and_peak_split(spark.createDataFrame(skewed, DDL), ["e"], "p", "v", rows_per_task=50)
+    df = S.with_previous_and_peak_split(spark.createDataFrame(skewed, DDL), ["e"], "p", "v")
     assert df.filter("peak < v").count() == 0
     assert df.count() == len(skewed)

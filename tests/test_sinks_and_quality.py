@@ -2,6 +2,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from panelspark import schemas
 from panelspark.operators import quality as Q
@@ -67,7 +68,13 @@ def test_single_file_and_json(spark, tmp_path):
     assert spark.read.schema("id bigint").json(str(tmp_path / "json")).count() == 100
 
 
+def wide(people):
+    """The rows with all columns of the declared table."""
+    return people.withColumns({f.name: F.lit(1) for f in StructType.fromDDL(schemas.POPULATION_DATA) if f.name not in people.columns})
+
+
 def test_append_replace_and_reload(spark, people):
+    people = wide(people)
     T.append_rows(people, "sink_demo")
     T.append_rows(people, "sink_demo")
     assert spark.table("sink_demo").count() == 6
@@ -82,8 +89,24 @@ def test_append_replace_and_reload(spark, people):
     assert spark.table("POPULATION_DATA").count() == 3
 
 
+def test_reload_refuses_lost_values_and_missing_columns(spark, people):
+    T.declare_table(spark, "strict_demo", "FIPS_CODE string, YEAR int, TOTAL_POPULATION bigint")
+    spoiled = spark.createDataFrame([("1", "x", "1e30")], "FIPS_CODE string, YEAR string, TOTAL_POPULATION string")
+    with pytest.raises(Q.QualityError, match=r"YEAR \(1\), TOTAL_POPULATION \(1\)"):
+        T.reload_table(spoiled, "strict_demo")
+    with pytest.raises(Q.QualityError, match="lack TOTAL_POPULATION"):
+        T.reload_table(people.select("FIPS_CODE", "YEAR"), "strict_demo")
+    assert spark.table("strict_demo").count() == 0
+
+
+def test_an_absent_key_column_fails_its_check(people):
+    report = Q.table_report(people, "t", Q.Expectation(1, ("year", "gone")))
+    assert {(r.check_name, r.passed) for r in report.collect()} == {("min_rows", True), ("no_nulls_year", True), ("no_nulls_gone", False)}
+
+
 def test_export(spark, people, tmp_path):
     T.declare_warehouse(spark)
+    people = wide(people)
     people.write.mode("overwrite").parquet(str(tmp_path / "people"))
     people.limit(0).write.parquet(str(tmp_path / "none"))
     loads = T.export_tables(

@@ -35,6 +35,14 @@ def test_dimension_keeps_leading_zeros(spark, tmp_path):
     )
 
 
+def test_dimension_binds_by_name(spark, tmp_path):
+    (tmp_path / "d.csv").write_text("state_code,FIPS_CODE,x,county_name,state_name,county_code\n01,01001,y,Autauga,Alabama,001\n")
+    assert tuple(S.scan_dimension(spark, str(tmp_path / "d.csv")).first()) == ("01001", "01", "Alabama", "Autauga", "001")
+    (tmp_path / "bad.csv").write_text("state_code,fips\n01,01001\n")
+    with pytest.raises(ValueError, match="fips_code"):
+        S.scan_dimension(spark, str(tmp_path / "bad.csv"))
+
+
 def test_indented_json_array_with_blank_in_file_name(spark, tmp_path):
     records = [{"state_code": "11", "county_code": "1", "year": 2001, "arithmetic_mean": 0.5}]
     (tmp_path / "Washington D.C._NO2.json").write_text(json.dumps(records * 2, indent=2))

@@ -69,6 +69,39 @@ def test_a_replayed_batch_replaces_itself(spark, tmp_path):
     assert O.read_snapshot(spark, paths[1]).first().VALUE == 7
 
 
+def test_a_new_checkpoint_adds_to_the_history(spark, tmp_path):
+    land(tmp_path / "landed", "a.json", [record("Boston", 1, 40)])
+    run(spark, tmp_path)
+    land(tmp_path / "landed", "b.json", [record("Miami", 2, 50)])
+    query = O.start_store(
+        O.landed_observations(spark, str(tmp_path / "landed")), *(str(tmp_path / n) for n in ("history", "snapshot", "fresh"))
+    )
+    assert query.awaitTermination(120)
+    stored = O.read_history(spark, str(tmp_path / "history"))
+    assert sorted((r.TARGETCITY, r.batch_id) for r in stored.collect()) == [("Boston", 0), ("Boston", 0), ("Miami", 0)]
+    assert stored.select("run").distinct().count() == 2
+
+
+def test_observations_without_city_are_kept(spark, tmp_path):
+    bare = {"AQI": 5, "HourObserved": 3}
+    land(tmp_path / "landed", "a.json", [record("Boston", 1, 40), bare])
+    history, _ = run(spark, tmp_path)
+    assert sorted((r.TARGETCITY or "", r.AQI) for r in history.collect()) == [("", 5), ("Boston", 40)]
+
+
+def test_a_failed_switch_leaves_the_old_snapshot(spark, tmp_path, monkeypatch):
+    land(tmp_path / "landed", "a.json", [record("Boston", 1, 40)])
+    run(spark, tmp_path)
+    rows = spark.createDataFrame([("2024-01-01", 1, None, None, None, None, None, "NO2", 7, (1, "Good"), "Miami")], schemas.AQI_OBSERVATION)
+    monkeypatch.setattr(O, "_pointers", lambda *a: 1 / 0)  # after the new rows are written, before they count
+    try:
+        O.store_batch(rows, 5, str(tmp_path / "history"), str(tmp_path / "snapshot"))
+    except ZeroDivisionError:
+        pass
+    monkeypatch.undo()
+    assert [r.CITY for r in O.read_snapshot(spark, str(tmp_path / "snapshot")).collect()] == ["Boston"]
+
+
 def test_latest_as_a_stream(spark, tmp_path):
     """The state of the running aggregate is one row per city and pollutant."""
     land(tmp_path / "landed", "a.json", [record("Boston", 1, 40), record("Boston", 3, 60), record("Miami", 2, 5)])

@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from panelspark.plans import gdp  # noqa: E402
 from panelspark.queries import QUERIES  # noqa: E402
 from panelspark.queries.gdp import _panel, _rows  # noqa: E402
+from panelspark.session import remove_scratch  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -97,6 +99,7 @@ def main() -> None:
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -109,6 +112,7 @@ def main() -> None:
         times[name] = round(statistics.median(seconds(build, spark) for _ in range(RUNS)), 3)
     total = round(sum(times[name] for name in HEADLINE), 3)
     print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec", "queries": times, "sf": SF_DIR}))
+    remove_scratch(spark)
     spark.stop()
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 
 from panelspark import pipeline
 from panelspark.operators.quality import require_passed, verdicts
+from panelspark.session import remove_scratch
 from panelspark.sinks.tables import declare_warehouse, export_tables
 from panelspark.streaming.observations import landed_observations, start_store
 
@@ -32,6 +33,8 @@ def _population(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _epa(spark: SparkSession, args: argparse.Namespace) -> None:
     print(f"all_epa_data: {pipeline.consolidate_epa(spark, args.input, args.out):,} rows")
+    for table, rows in pipeline.build_epa(spark, args.out).items():
+        print(f"{table}: {rows:,} rows")
 
 
 def _observations(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -95,6 +98,7 @@ def main(argv: list[str]) -> None:
     try:
         args.run(spark, args)
     finally:
+        remove_scratch(spark)
         spark.stop()
 
 

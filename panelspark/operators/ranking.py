@@ -33,21 +33,24 @@ def _picked(df: DataFrame, group: Sequence[str], pick: Column, label: str, value
     )
 
 
-def extremes(df: DataFrame, group: Sequence[str], value: str, key: str, label: str) -> DataFrame:
-    """Group, best and worst: struct(key, label, value), ties by the smallest key; for large tables.
+def extremes(
+    df: DataFrame, group: Sequence[str], value: str, key: str, label: str, sides: Sequence[str] = ("best", "worst")
+) -> DataFrame:
+    """Group, best and worst, or one of them: struct(key, label, value), ties by the smallest key; for large tables.
 
     An aggregate that carries text makes Spark sort all rows by group. Here the
     rows only pass a hash aggregation of numbers. Its result, one row per group, is
     written, and the rows that hold an extreme are joined back: by broadcast if the
-    written table is small, else on (group, value), which has no hot key of its own.
+    written table is small, else on (group, value). That key is as hot as many rows
+    tie at an extreme; a join that has to split such a key does.
     """
-    bounds = df.groupBy(*group).agg(F.max(value).alias("best"), F.min(value).alias("worst"))
-    sides = written(bounds).unpivot(list(group), ["best", "worst"], "side", "bound")
-    same = [F.col(f"facts.{c}").eqNullSafe(F.col(f"sides.{c}")) for c in group]
-    same.append(F.col(f"facts.{value}") == F.col("sides.bound"))
-    found = df.select(*group, value, key, label).alias("facts").join(sides.alias("sides"), same)
+    pick = {"best": F.max(value), "worst": F.min(value)}
+    bounds = df.groupBy(*group).agg(*[pick[side].alias(side) for side in sides])
+    bounds = written(bounds).unpivot(list(group), list(sides), "side", "bound")
+    same = [F.col(f"facts.{c}").eqNullSafe(F.col(f"bounds.{c}")) for c in group]
+    same.append(F.col(f"facts.{value}") == F.col("bounds.bound"))
+    found = df.select(*group, value, key, label).alias("facts").join(bounds.alias("bounds"), same)
     row = F.struct(*[F.col(f"facts.{c}").alias(c) for c in (key, label, value)])
     return found.groupBy(*[F.col(f"facts.{c}").alias(c) for c in group]).agg(
-        F.min(F.when(F.col("side") == "best", row)).alias("best"),
-        F.min(F.when(F.col("side") == "worst", row)).alias("worst"),
+        *[F.min(F.when(F.col("side") == side, row)).alias(side) for side in sides]
     )

@@ -137,6 +137,16 @@ def consolidate_epa(spark: SparkSession, json_glob: str, out: str) -> int:
     return write_table(airquality.consolidate(scan_json_dir(spark, json_glob)), f"{out}/curated/all_epa_data")
 
 
+def build_epa(spark: SparkSession, out: str) -> dict[str, int]:
+    """The yearly means per city and pollutant and the rows of the main cities, from the curated table."""
+    records = spark.read.parquet(f"{out}/curated/all_epa_data")
+    means = airquality.yearly_mean(records, ["city", "pollutant"])
+    return {
+        "epa_yearly_mean": write_table(means, f"{out}/curated/epa_yearly_mean", ["city", "pollutant", "year"]),
+        "epa_cities": write_table(airquality.tidy(records), f"{out}/curated/epa_cities", ["City", "Pollutant", "Year"]),
+    }
+
+
 def gold_names(prefix: str) -> list[str]:
     """Names of the gold tables of a flow."""
     return [name for name in schemas.GOLD if name.startswith(prefix)]

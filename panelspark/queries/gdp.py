@@ -322,14 +322,14 @@ def rank_worst_by_growth(spark, sf):
 @query("select state_code, year, county_name, gdp_value from "
        f"({sql_pick('gdp_panel', 'state_code, year', 'gdp_value', 'desc')}) as t")
 def rank_largest_by_period(spark, sf):
-    found = ranking.extremes(written(_panel(spark, sf)), ["state_code", "year"], "gdp_value", "fips_code", "county_name")
+    found = ranking.extremes(written(_panel(spark, sf)), ["state_code", "year"], "gdp_value", "fips_code", "county_name", ["best"])
     return found.select("state_code", "year", "best.county_name", "best.gdp_value")
 
 
 @query("select state_code, year, county_name, gdp_value from "
        f"({sql_pick('gdp_panel', 'state_code, year', 'gdp_value', 'asc')}) as t")
 def rank_smallest_by_period(spark, sf):
-    found = ranking.extremes(written(_panel(spark, sf)), ["state_code", "year"], "gdp_value", "fips_code", "county_name")
+    found = ranking.extremes(written(_panel(spark, sf)), ["state_code", "year"], "gdp_value", "fips_code", "county_name", ["worst"])
     return found.select("state_code", "year", "worst.county_name", "worst.gdp_value")
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+_made: dict[str, list[str]] = {}  # by application, the scratch folders not yet removed
+
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
@@ -25,8 +27,21 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, for ``remove_scratch`` to delete."""
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders of this application and return their number.
+
+    Call it when the results that read them are written, at the latest before the session stops.
+    """
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        remove(spark, path)
+    return len(paths)
 
 
 def remove(spark: SparkSession, path: str) -> None:

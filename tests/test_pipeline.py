@@ -134,6 +134,22 @@ def test_observations_are_published(spark, tmp_path):
     assert spark.table("published.AIR_QUALITY_13_CITIES").count() == 2
 
 
+def test_epa_flow(spark, tmp_path):
+    def item(value, year=2001):
+        return {"state_code": "36", "county_code": "061", "year": year, "parameter": "Ozone", "arithmetic_mean": value,
+                "state": "New York", "county": "New York"}
+
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "Boston_Ozone.json").write_text(json.dumps([item(1.0), item(2.0), item(None), item(5.0, 2002)]))
+    (tmp_path / "raw" / "Elsewhere_NO2.json").write_text(json.dumps([item(4.0)], indent=1))
+    assert pipeline.consolidate_epa(spark, f"{tmp_path}/raw/*.json", str(tmp_path)) == 5
+    assert pipeline.build_epa(spark, str(tmp_path)) == {"epa_yearly_mean": 3, "epa_cities": 3}
+    means = spark.read.parquet(f"{tmp_path}/curated/epa_yearly_mean")
+    assert {(r.city, r.pollutant, r.year, r.arithmetic_mean) for r in means.collect()} == {
+        ("Boston", "Ozone", 2001, 1.5), ("Boston", "Ozone", 2002, 5.0), ("Elsewhere", "NO2", 2001, 4.0)
+    }
+
+
 def test_places_flow(spark, tmp_path):
     (tmp_path / "codes.txt").write_text("01000  ALABAMA\n01001  Autauga\n03001  Nowhere\n72001  Adjuntas\n")
     names = [["NAME", "state", "county"], ["Autauga County, Alabama", "01", "001"], ["Nowhere, X", "03", "001"]]

@@ -5,8 +5,10 @@
    Each class is compared with its next neighbours in that order, in blocks that also hold the first rows of the block
    after them. The passes use different hyperplanes.
 3. Verified pairs of all passes are united into components.
-4. Inside a component every two classes are compared exactly, block against block, so that the numbers of links are
-   whole however many neighbours a class has; a task holds two blocks, never a component.
+4. Inside a component the links are counted exactly, so that their numbers are whole however many neighbours a class
+   has. Classes within half the linking angle of one of them all link with each other, so a group of near copies takes
+   one comparison for each; the others are compared with all, block against block. A task holds two blocks, never a
+   component.
 
 Cosines are computed in double precision. Defined results: a vector that is null, empty, zero, or holds a null or
 non-finite component links with nothing; vectors of different lengths do not link; repeated rows are copies and link
@@ -184,17 +186,48 @@ def _windows(batches, least, window, block):
                     yield pa.array([p[0] for p in pairs]), pa.array([p[1] for p in pairs])
 
 
+def flagged(members: DataFrame, least: float) -> DataFrame:
+    """The members with ``core``: whether the angle to the class that names the component is at most half of what links.
+    Any two such classes link, whatever their number."""
+    pivots = members.filter("class = root").select("root", F.col("packed").alias("pivot"))
+    half = float(np.sqrt((1 + least) / 2)) + 1e-9  # with room for rounding
+    rows = members.join(pivots, "root")
+
+    def run(batches):
+        for batch in batches:
+            dims = batch.column("dim").to_numpy()
+            core = np.zeros(batch.num_rows, bool)
+            for dim in np.unique(dims):
+                take = np.flatnonzero(dims == dim)
+                own = batch.take(pa.array(take))
+                pivot = own.drop_columns(["packed"]).rename_columns({"pivot": "packed"})
+                core[take] = (unit(_matrix(own)) * unit(_matrix(pivot))).sum(axis=1) >= half
+            yield batch.drop_columns(["pivot"]).append_column("core", pa.array(core))
+
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in rows.drop("pivot").schema]
+    return rows.mapInArrow(run, ", ".join([*kinds, "core boolean"]))
+
+
 def inner_links(members: DataFrame, least: float, block: int) -> DataFrame:
     """(class, n_links): rows of other classes of the same component that link with the class.
 
-    ``members`` has (root, class, n, dim, packed). A component is cut into blocks by a hash of the class, about ``block``
-    classes each; each two blocks of it meet once.
+    ``members`` has (root, class, n, dim, packed). Classes of the core link with each other and are only counted. The
+    others are compared with all: they and the core are cut into blocks of about ``block`` classes by a hash, and each
+    block of the others meets every block once.
     """
-    sizes = members.groupBy("root").agg(F.ceil(F.count("*") / block).cast("long").alias("blocks"))
-    dealt = members.join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")))
-    # Block i meets i and the blocks after it; it travels to a pair (low, high) for every other block.
-    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    sent = dealt.select("root", "own", "class", "n", "dim", "packed", others).select(
+    rows = stored(flagged(members, least), "flagged")
+    size = lambda which: F.ceil(F.count_if(which) / block).cast("long")
+    sizes = rows.groupBy("root").agg(
+        size(~F.col("core")).alias("loose"), size(F.col("core")).alias("cores"), F.sum(F.when(F.col("core"), F.col("n"))).alias("core_n")
+    )
+    met = rows.join(sizes, "root")
+    counted = met.filter("core").select("class", (F.col("core_n") - F.col("n")).alias("n_links"))
+    place = F.xxhash64("class")
+    own = F.when(F.col("core"), F.col("loose") + F.pmod(place, "cores")).otherwise(F.pmod(place, "loose"))
+    last = F.when(F.col("core"), F.col("loose")).otherwise(F.col("loose") + F.col("cores")) - 1
+    dealt = met.filter("loose > 0").withColumn("own", own)
+    sent = dealt.select("root", "own", "class", "n", "dim", "packed", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("other"))
+    sent = sent.select(
         "root", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "class", "n", "dim", "packed"
     )
 
@@ -203,8 +236,6 @@ def inner_links(members: DataFrame, least: float, block: int) -> DataFrame:
         vectors, own = unit(_matrix(table)), table.column("own").to_numpy()
         n, names = table.column("n").to_numpy(), table.column("class").combine_chunks()
         left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
-        if low != high and not (len(left) and len(right)):
-            left = right = np.empty(0, np.int64)
         linked = vectors[left] @ vectors[right].T >= least
         if low == high:
             np.fill_diagonal(linked, False)
@@ -212,8 +243,8 @@ def inner_links(members: DataFrame, least: float, block: int) -> DataFrame:
         both = np.concatenate([left, right])
         return pa.table({"class": names.take(pa.array(both)), "n_links": np.concatenate([linked @ n[right], linked.T @ n[left]])})
 
-    met = sent.groupBy("root", "low", "high").applyInArrow(compare, "class string, n_links long")
-    return met.groupBy("class").agg(F.sum("n_links").alias("n_links"))
+    found = sent.groupBy("root", "low", "high").applyInArrow(compare, "class string, n_links long")
+    return counted.union(found).groupBy("class").agg(F.sum("n_links").alias("n_links"))
 
 
 def near_duplicates(

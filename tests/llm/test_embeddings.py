@@ -35,7 +35,9 @@ def vectors(n=300, dim=16, seed=1):
     base = r.standard_normal((n, dim))
     near = np.repeat(base[:40], 5, axis=0) + 0.05 * r.standard_normal((200, dim))
     hot = base[0] + 0.03 * r.standard_normal((150, dim))
-    return np.concatenate([base, near, hot, base[:3]]).astype(np.float32).tolist()
+    turn = np.linspace(0, 2, 60)[:, None]  # a chain in which only neighbours link
+    arc = np.cos(turn) * base[1] / np.linalg.norm(base[1]) + np.sin(turn) * np.eye(dim)[0]
+    return np.concatenate([base, near, hot, base[:3], arc]).astype(np.float32).tolist()
 
 
 ODD = [None, [], [0.0] * 16, [float("nan")] + [1.0] * 15, [float("inf")] * 16, [None] + [1.0] * 15, [1.0, 2.0], [2.0, 4.0], [1e-30] * 16, [1e30] * 16]

@@ -45,8 +45,11 @@ def taken(pool: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
     return pool[np.repeat(first - (ends - count), count) + np.arange(total)]
 
 
-def narrow_pattern(pattern: str) -> re.Pattern:
-    """The same pattern for texts of characters below 256, its classes written out, for the plain regex module."""
+def narrow_pattern(pattern: str) -> re.Pattern | None:
+    """The usual pattern for texts of characters below 256, its classes written out, for the plain regex module; none for
+    any other pattern, whose classes may not be as simple."""
+    if pattern != public_tokenizers.PATTERN:
+        return None
     named = lambda kind: "".join(re.escape(chr(c)) for c in range(256) if unicodedata.category(chr(c))[0] == kind)
     blank = "".join(re.escape(chr(c)) for c in range(256) if regex.match(r"\s", chr(c)))
     out = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{blank}{named('L')}{named('N')}]")
@@ -88,11 +91,13 @@ class Codec:
         self.at, self.n = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
 
     def split(self, text: str) -> list[str]:
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return self.wide.findall(text)
-        return self.narrow.findall(text)
+        if self.narrow:
+            try:
+                text.encode("latin-1")
+                return self.narrow.findall(text)
+            except UnicodeEncodeError:
+                pass
+        return self.wide.findall(text)
 
     def learn(self, pieces: list[str]) -> None:
         found = self.library.encode_batch_fast([pieces], is_pretokenized=True, add_special_tokens=False)[0]

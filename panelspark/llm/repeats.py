@@ -120,7 +120,7 @@ def texts_of(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     one = one.dropDuplicates(["uid"])  # rows that are equal in key and text
     path = scratch_path(spark, "texts")
     name = "texts_" + path.rsplit("-", 1)[1]
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = min(100_000, int(spark.conf.get("spark.sql.shuffle.partitions")))  # Spark has no more
     writer = one.select("uid", "data", "copies").write.format("parquet").bucketBy(buckets, "uid").sortBy("uid")
     writer.option("path", path).saveAsTable(name)
     return marks, spark.table(name)

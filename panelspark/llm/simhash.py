@@ -177,9 +177,7 @@ def allocation(prints: DataFrame, distance: int, parts: int) -> list[tuple[int,
 
 def links(prints: DataFrame, distance: int = 4, parts: int = 3) -> DataFrame:
     """Rows (a, b), a < b: distinct fingerprints that differ in at most ``distance`` bits, each pair once."""
-    plan = allocation(prints, distance, parts)
-    if not plan:
-        plan = [(-1, distance, list(range(BITS)))]
+    plan = allocation(prints, distance, parts)  # thresholds sum to more than -parts, so one at least is probed
     probes, index = None, None
     for k, (mask, t, own) in enumerate(plan):
         flips = [sum(1 << b for b in some) for r in range(t + 1) for some in combinations(own, r)]

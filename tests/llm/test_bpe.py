@@ -29,6 +29,14 @@ def test_ids_are_those_of_tiktoken(texts):
     assert bpe.codec().decode(ids) == "".join(texts).encode()
 
 
+def test_another_pattern():
+    pattern = r"[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}{1,3}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s+"
+    other = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=REFERENCE._mergeable_ranks, special_tokens={})
+    texts = ["It's 12345 (é) naïve\n\n  x", "日本 ½"]
+    ids, at = bpe.codec(bpe.RANKS, pattern).encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [other.encode_ordinary(t) for t in texts]
+
+
 def test_query_matches_digests(docs, sf_dir, spark, rows):
     out = QUERIES["op3_byte_bpe"](spark, sf_dir(documents=docs(ODD)))
     sha = lambda b: hashlib.sha256(b).hexdigest()

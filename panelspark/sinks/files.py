@@ -41,9 +41,9 @@ def write_single_file(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Replace a folder by one CSV file with a header; for outputs that one task can write."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, single: bool = False) -> None:
+    """Replace a folder of CSV files with headers; ``single``: one file, for outputs that one task can write."""
+    (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

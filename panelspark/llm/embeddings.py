@@ -3,7 +3,9 @@
 1. Equal vectors count once: a class with its number of rows.
 2. A pass gives each class a key of random hyperplane signs, read as one long bit string, and sorts all classes by it.
    Each class is compared with its next neighbours in that order, in blocks that also hold the first rows of the block
-   after them. The passes use different hyperplanes.
+   after them. The passes use different hyperplanes, and there are as many as the number of classes asks for: a lone pair
+   that just links is predicted to meet in some pass with the same probability at every size (see ``passes_for``). A pair
+   that meets in none, and that no third vector ties, is missed.
 3. Verified pairs of all passes are united into components.
 4. Inside a component the links are counted exactly, so that their numbers are whole however many neighbours a class
    has. Classes within half the linking angle of one of them all link with each other, so a group of near copies takes
@@ -25,11 +27,13 @@ from pyspark.sql import functions as F
 from panelspark.llm.components import components
 from panelspark.llm.tables import stored
 
+#: Passes of a small table, and the share of lone pairs at the linking cosine that larger ones must keep.
 PASSES = 12
+RECALL = 0.99
 KEY_BITS = 48
 WINDOW = 48
-#: Classes in a block of a sorted pass and of a component.
-BLOCK = 1024
+#: Classes in a block of a sorted pass and of a component; a short block compares little that is outside the window.
+BLOCK = 256
 COMPONENT_BLOCK = 1024
 
 
@@ -72,6 +76,20 @@ def classes_of(df: DataFrame, key: str, vector: str) -> tuple[DataFrame, DataFra
     return packed.select("key", "class"), stored(found, "classes")
 
 
+def passes_for(n: int, least: float, window: int, recall: float = RECALL) -> int:
+    """How many passes find a pair at the cosine ``least`` among ``n`` evenly spread classes with probability ``recall``.
+
+    A hyperplane leaves the pair on one side with probability p. Both are within the window of a pass about when they
+    share the first log2(n / window) signs. Classes crowded just below the threshold share more signs than evenly spread
+    ones, and then fewer pairs are found than this says.
+    """
+    together = 1 - np.arccos(np.clip(least, -1, 1)) / np.pi
+    if n <= window or together >= 1:
+        return PASSES
+    met = together ** np.log2(n / window)
+    return max(PASSES, int(np.ceil(np.log1p(-recall) / np.log1p(-met))))
+
+
 def projected(classes: DataFrame, passes: int, bits: int, seed: int) -> DataFrame:
     """(pass, dim, bits as text of bytes, class, packed): the sort keys of every class in every pass."""
 
@@ -252,15 +270,17 @@ def near_duplicates(
     key: str = "vec_id",
     vector: str = "embedding",
     least: float = 0.9,
-    passes: int = PASSES,
+    passes: int | None = None,
     bits: int = KEY_BITS,
     window: int = WINDOW,
     block: int = BLOCK,
     component_block: int = COMPONENT_BLOCK,
     seed: int = 7,
 ) -> DataFrame:
-    """Rows (key, n_links, component_id, kept), one for each row of the table."""
+    """Rows (key, n_links, component_id, kept), one for each row of the table. ``passes`` follows the number of classes
+    if it is not given."""
     rows, classes = classes_of(df, key, vector)
+    passes = passes_for(classes.count(), least, window) if passes is None else passes
     pairs = neighbour_pairs(classes, least, passes, bits, window, block, seed)
     roots = components(pairs)
     members = stored(classes.join(roots, F.col("class") == F.col("node")).select("root", "class", "first", "n", "dim", "packed"), "members")

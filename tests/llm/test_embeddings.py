@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from panelspark.llm import embeddings
@@ -63,3 +64,34 @@ def test_small_blocks_and_borders_lose_nothing(spark):
 
 def test_empty_table(spark):
     assert embeddings.near_duplicates(frame(spark, [])).count() == 0
+
+
+def lone_pairs(n, pairs, cosine=0.9, dim=64, seed=3):
+    """Evenly spread unit vectors; those with the first ids divisible by 100 have a partner at the cosine, at the end."""
+    r = np.random.default_rng(seed)
+    base = r.standard_normal((n - pairs, dim))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    one = base[: 100 * pairs : 100]
+    side = r.standard_normal((pairs, dim))
+    side -= (side * one).sum(axis=1, keepdims=True) * one
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine += 1e-6  # rounding to single precision leaves it above
+    return np.concatenate([base, cosine * one + np.sqrt(1 - cosine**2) * side]).astype(np.float32)
+
+
+def test_passes_follow_the_number_of_classes():
+    many = [embeddings.passes_for(n, 0.9, embeddings.WINDOW) for n in (0, 600, 20_000, 100_000, 400_000, 2_000_000)]
+    assert many[:2] == [embeddings.PASSES] * 2 and many == sorted(many) and len(set(many[2:])) == 4
+
+
+def test_recall_at_100_000_vectors(spark):
+    all_vectors = lone_pairs(100_000, 900)
+    rows = pa.table({"vec_id": pa.array(np.arange(len(all_vectors))), "embedding": pa.FixedSizeListArray.from_arrays(pa.array(all_vectors.ravel()), 64).cast(pa.list_(pa.float32()))})
+    out = embeddings.near_duplicates(spark.createDataFrame(rows)).filter("vec_id % 100 = 0").select("vec_id", "n_links")
+    found = dict(map(tuple, out.collect()))
+    exact = embeddings.unit(all_vectors.astype(np.float64))
+    queries = np.arange(0, len(exact), 100)
+    links = (exact[queries] @ exact.T >= 0.9).sum(axis=1) - 1
+    recall = sum(found[i] for i in queries.tolist()) / links.sum()
+    print(f"recall at 100,000 vectors: {recall:.4f} of {links.sum()} links")
+    assert links.sum() >= 900 and recall >= 0.97

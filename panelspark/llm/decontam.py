@@ -5,7 +5,10 @@
 2. Windows of five template tokens (shorter texts: the whole sequence) with at least two literal words are hash-joined
    with those of the benchmark items.
 3. Slot consistency: the values that stood in matched slots must map one to one from item to document, each to the
-   value it meets most often (ties: the smallest); windows against that mapping do not count.
+   value it meets most often (ties: the smallest); windows against that mapping do not count. The mapping is made for
+   every occurrence by itself, and the best one counts: all hits that start at one place of a text when aligned with the
+   item; those that start within one length of the item (two overlapping rows of such stretches, so that up to half a
+   length may be put in or left out); and all hits of the document. Windows without slots agree with any mapping.
 4. A document is contaminated by an item if at least 0.8 of the item's distinct windows are found in it. Values may all
    differ from the item's, which is how re-parameterised questions are caught.
 
@@ -112,12 +115,13 @@ def window_hashes(hashes: np.ndarray, slot: np.ndarray, width: int) -> tuple[np.
 
 
 def windows(df: DataFrame, key: str, text: str, width: int, wanted=None) -> DataFrame:
-    """(key, h, slots): every window, with the values of its slots as "place value"; only ``wanted`` hashes if given."""
+    """(key, h, slots, row, at, length): every window, with the values of its slots as "place value"; only ``wanted``
+    hashes if given. Of windows with slots, also a hash of their text, their place in it, and its length in words."""
 
     def run(batches):
         want = wanted.value if wanted is not None else None
         for batch in batches:
-            rows, found, values = [], [], []
+            rows, found, values, places, lengths = [], [], [], [], []
             for row, t in enumerate(batch.column("text")):
                 tokens, hashes, slot = template(t.as_py() or "")
                 own, at = window_hashes(hashes, slot, width)
@@ -133,24 +137,36 @@ def windows(df: DataFrame, key: str, text: str, width: int, wanted=None) -> Data
                 some = held[at + span] - held[at]
                 rows.append(np.full(len(own), row))
                 found.append(own.view(np.int64))
+                places.append(np.where(some > 0, at, -1))
+                lengths.append(np.full(len(own), len(hashes)))
                 values += [
                     [f"{i} {tokens[a + i]}" for i in range(span) if slot[a + i]] if s else [] for a, s in zip(at, some)
                 ]
                 if len(values) > 50_000:
-                    yield _rows(batch, rows, found, values)
-                    rows, found, values = [], [], []
+                    yield _rows(batch, rows, found, values, places, lengths)
+                    rows, found, values, places, lengths = [], [], [], [], []
             if rows:
-                yield _rows(batch, rows, found, values)
+                yield _rows(batch, rows, found, values, places, lengths)
 
-    rows = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    whole = F.col(text).cast("string")
+    rows = df.select(F.col(key).alias("key"), whole.alias("text"), F.xxhash64(whole).alias("row"))
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, h long, slots array<string>")
+    return rows.mapInArrow(run, f"key {kind}, h long, slots array<string>, row long, at long, length long")
 
 
-def _rows(batch, rows, found, values):
-    keys = batch.column("key").take(pa.array(np.concatenate(rows)))
+def _rows(batch, rows, found, values, places, lengths):
+    take, at = pa.array(np.concatenate(rows)), np.concatenate(places)
+    plain = at < 0
     return pa.RecordBatch.from_arrays(
-        [keys, pa.array(np.concatenate(found)), pa.array(values, pa.list_(pa.string()))], ["key", "h", "slots"]
+        [
+            batch.column("key").take(take),
+            pa.array(np.concatenate(found)),
+            pa.array(values, pa.list_(pa.string())),
+            pa.array(batch.column("row").take(take).to_numpy(), mask=plain),
+            pa.array(at, mask=plain),
+            pa.array(np.concatenate(lengths), mask=plain),
+        ],
+        ["key", "h", "slots", "row", "at", "length"],
     )
 
 
@@ -172,29 +188,42 @@ def contaminated(
     if of_items.select("h").distinct().limit(most_sent + 1).count() <= most_sent:
         hashes = np.array([r.h for r in of_items.select("h").distinct().toLocalIterator()], np.int64).view(np.uint64)
         wanted = df.sparkSession.sparkContext.broadcast(np.sort(hashes))
-    hits = windows(df, key, text, width, wanted).distinct()
-    met = stored(hits.withColumnRenamed("slots", "own").join(of_items, "h").select("key", "item", "h", "own", "slots"), "met")
+    hits = windows(df, key, text, width, wanted).drop("length").distinct()
+    hits = hits.select("key", "h", F.col("slots").alias("own"), F.col("row").alias("own_row"), F.col("at").alias("own_at"))
+    met = hits.join(of_items, "h").select("key", "item", "h", "own", "slots", "own_row", "row", "length", (F.col("own_at") - F.col("at")).alias("off"))
+    met = stored(met.distinct(), "met")
+    same = lambda a, b, *more: [a["key"].eqNullSafe(b["key"]), a["item"].eqNullSafe(b["item"]), *(a[m] == b[m] for m in more)]
+    # Whatever the values, a document must hold enough windows of the item.
+    held = met.groupBy("key", "item").agg(F.countDistinct("h").alias("n_held"))
+    held = held.join(sizes, held["item"].eqNullSafe(sizes["item"])).select(held["*"], "n_windows")
+    held = held.filter(F.col("n_held") / F.col("n_windows") >= least_share)
+    met = stored(met.join(held, same(met, held)).select(met["*"]), "held")
     # A window without slots agrees with any mapping; the others by the values that their item's slots meet most often.
-    filled = met.filter(F.size("slots") > 0).withColumn("pair", F.explode(F.arrays_zip("slots", "own")))
+    off, length = F.col("off"), F.col("length")
+    none = F.lit(0).cast("long")
+    group = lambda kind, own, row, i: F.struct(F.lit(kind).alias("kind"), own.alias("own"), row.alias("row"), i.cast("long").alias("i"))
+    some = lambda kind, i: group(kind, F.col("own_row"), F.col("row"), i)
+    groups = F.array(group(0, none, none, none), some(1, off), some(2, F.floor(off / length)), some(3, F.floor(off / length + 0.5)))
+    filled = met.filter(F.size("slots") > 0).select("key", "item", "h", "own", "slots", F.explode(groups).alias("group")).distinct()
+    filled = filled.withColumn("pair", F.explode(F.arrays_zip("slots", "own")))
     value = lambda c: F.regexp_replace(F.lower(c), r"^\d+ ", "")
-    pairs = filled.select("key", "item", "h", "own", "slots", value("pair.slots").alias("s"), value("pair.own").alias("d"))
-    counts = pairs.groupBy("key", "item", "s", "d").agg(F.count("*").alias("c"))
-    best = lambda by, other: counts.groupBy("key", "item", by).agg(
+    pairs = filled.select("key", "item", "group", "h", "own", "slots", value("pair.slots").alias("s"), value("pair.own").alias("d"))
+    counts = pairs.groupBy("key", "item", "group", "s", "d").agg(F.count("*").alias("c"))
+    best = lambda by, other: counts.groupBy("key", "item", "group", by).agg(
         F.min(F.struct((-F.col("c")).alias("c"), F.col(other))).getField(other).alias(f"best_{other}")
     )
     forth, back = best("s", "d"), best("d", "s")
-    same = lambda a, b, *more: [a["key"].eqNullSafe(b["key"]), a["item"].eqNullSafe(b["item"]), *(a[m] == b[m] for m in more)]
-    p = pairs.join(forth, same(pairs, forth, "s")).select(pairs["*"], "best_d")
-    p = p.join(back, same(p, back, "d")).select(p["*"], "best_s")
+    p = pairs.join(forth, same(pairs, forth, "group", "s")).select(pairs["*"], "best_d")
+    p = p.join(back, same(p, back, "group", "d")).select(p["*"], "best_s")
     agrees = (F.col("best_d") == F.col("d")) & (F.col("best_s") == F.col("s"))
-    checked = p.groupBy("key", "item", "h", "own", "slots").agg(
+    checked = p.groupBy("key", "item", "group", "h", "own", "slots").agg(
         F.min(agrees).alias("agrees"), F.max(F.col("s") != F.col("d")).alias("differs")
     )
-    plain = met.filter(F.size("slots") == 0).select("key", "item", "h", F.lit(False).alias("differs"))
-    kept = checked.filter("agrees").select("key", "item", "h", "differs").union(plain)
-    matched = kept.groupBy("key", "item").agg(
-        F.countDistinct("h").alias("n_matched"), F.max("differs").alias("reparameterised")
-    )
+    occurrences = checked.filter("agrees").groupBy("key", "item", "group").agg(F.countDistinct("h").alias("n"), F.max("differs").alias("differs"))
+    first = F.min(F.struct((-F.col("n")).alias("n"), "differs")).alias("first")
+    most = occurrences.groupBy("key", "item").agg(first).select("key", "item", (-F.col("first.n")).alias("n"), "first.differs")
+    plain = met.filter(F.size("slots") == 0).groupBy("key", "item").agg(F.countDistinct("h").alias("n"), F.lit(False).alias("differs"))
+    matched = most.union(plain).groupBy("key", "item").agg(F.sum("n").alias("n_matched"), F.max("differs").alias("reparameterised"))
     matched = matched.join(sizes, matched["item"].eqNullSafe(sizes["item"])).select(matched["*"], "n_windows")
     share = F.col("n_matched") / F.col("n_windows")
     out = matched.withColumn("share", share).filter(F.col("share") >= least_share)

@@ -96,3 +96,16 @@ def test_empty_tables(spark, docs):
     items = spark.createDataFrame([], "item_id long, text string")
     assert decontam.contaminated(docs(TEXTS[:3]), items).count() == 0
     assert decontam.contaminated(docs([]), spark.createDataFrame(ITEMS, "item_id long, text string")).count() == 0
+
+
+THIRD = "Anyone can see how Anna had 5 apples and 8 g of pears when Anna met Carl. How many apples did Anna give to Carl?"
+
+
+def test_each_occurrence_has_its_own_values(spark, docs):
+    items = spark.createDataFrame([(0, QUESTION)], "item_id long, text string")
+    texts = [QUESTION + " " + OTHER, OTHER + " " + QUESTION, OTHER + "\n" + THIRD, MIXED, QUESTION + " " + MIXED, OTHER, THIRD]
+    texts += [THIRD + " And " + OTHER.replace("pears", "many very ripe pears") + " " + QUESTION.replace("apples", "plums")]
+    out = decontam.contaminated(docs(texts, [0, 1, 2, 3, 4, 5, 5, 6]), items)
+    got = {r.doc_id: (r.n_matched / r.n_windows, r.reparameterised) for r in out.collect()}
+    assert got.pop(6)[0] >= 0.8
+    assert got == {0: (1.0, False), 1: (1.0, False), 2: (1.0, True), 4: (1.0, False), 5: (1.0, True)}

@@ -1,14 +1,18 @@
 """Benchmark decontamination by template windows.
 
 1. Canonicalisation: words lower-cased, numbers, names and units of measure replaced by typed placeholders. A name is a
-   word with a capital first letter that does not start a sentence; a unit counts as one after a number.
+   word with a capital first letter; at the start of a sentence it may be a name or not, and both readings are tried. A
+   unit counts as one after a number.
 2. Windows of five template tokens (shorter texts: the whole sequence) with at least two literal words are hash-joined
-   with those of the benchmark items.
+   with those of the benchmark items. A window with capitalised sentence starts is joined in every reading that leaves
+   two literal words; an item's window is counted once, as the one in which they are all literal, whichever meets.
 3. Slot consistency: the values that stood in matched slots must map one to one from item to document, each to the
    value it meets most often (ties: the smallest); windows against that mapping do not count. The mapping is made for
    every occurrence by itself, and the best one counts: all hits that start at one place of a text when aligned with the
    item; those that start within one length of the item (two overlapping rows of such stretches, so that up to half a
-   length may be put in or left out); and all hits of the document. Windows without slots agree with any mapping.
+   length may be put in or left out); and all hits of the document, with and without the readings of sentence starts as
+   names. Windows without slots agree with any mapping. Where the share is reached with all sentence starts as words,
+   that count is the result.
 4. A document is contaminated by an item if at least 0.8 of the item's distinct windows are found in it. Values may all
    differ from the item's, which is how re-parameterised questions are caught.
 
@@ -81,8 +85,9 @@ def _words() -> list[Words]:
     return [Words()]
 
 
-def template(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """The words without sentence ends, the hash of what stands for each, and which are slots."""
+def template(text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The words without sentence ends, the hash of what stands for each, which are slots, and which are capitalised
+    sentence starts, literal here but perhaps names."""
     held = _words()
     if len(held[0]) > KNOWN_WORDS:
         held[0] = Words()
@@ -92,81 +97,106 @@ def template(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
     before = np.concatenate([[END], kinds[:-1]]) if len(kinds) else kinds
     number, unit = kinds == NUMBER, (kinds == UNIT) & (before == NUMBER)
     name = (kinds == CAPITAL) & (before != END)
-    slot = number | unit | name
+    slot, start = number | unit | name, (kinds == CAPITAL) & (before == END)
     hashes = np.where(number, NUMBER_SLOT, np.where(unit, UNIT_SLOT, np.where(name, NAME_SLOT, hashes)))
     word = kinds != END
-    return [t for t, w in zip(tokens, word) if w] if slot.any() else tokens, hashes[word], slot[word]
+    valued = slot.any() or start.any()
+    return [t for t, w in zip(tokens, word) if w] if valued else tokens, hashes[word], slot[word], start[word]
 
 
-def window_hashes(hashes: np.ndarray, slot: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the windows that hold enough literal words, and where they start."""
+def window_hashes(hashes: np.ndarray, slot: np.ndarray, start: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """Hashes of the windows that hold enough literal words, where they start, the hash of each with its sentence starts
+    all literal, and which of its places are slots. A reading takes some of the sentence starts of a window as names."""
     n = len(hashes)
     if not n:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty((0, 0), bool)
     width = min(width, n)
-    total = np.zeros(n - width + 1, np.uint64)
-    literal = np.zeros(n - width + 1, np.int64)
+    least = min(LEAST_LITERALS, width)
+
+    def mixed(columns):
+        total = np.zeros(len(columns[0]), np.uint64)
+        for c in columns:
+            total = (total ^ c) * np.uint64(0x9E3779B97F4A7C15)
+            total ^= total >> np.uint64(29)
+        return total
+
+    m = n - width + 1
+    total, literal = mixed([hashes[i : m + i] for i in range(width)]), np.zeros(m, np.int64)
     for i in range(width):
-        total = (total ^ hashes[i : n - width + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
-        total ^= total >> np.uint64(29)
-        literal += ~slot[i : n - width + 1 + i]
-    at = np.flatnonzero(literal >= min(LEAST_LITERALS, width))
-    return total[at], at
+        literal += ~slot[i : m + i]
+    at = np.flatnonzero(literal >= least)
+    spread = np.lib.stride_tricks.sliding_window_view
+    found, ats, wholes, slots = [total[at]], [at], [total[at]], [spread(slot, width)[at]]
+    starts = np.concatenate([[0], np.cumsum(start)])
+    many = starts[at + width] - starts[at]
+    for chosen in range(1, 1 << int(many.max(initial=0))):  # which of the window's sentence starts are names, bit by bit
+        own = at[(many >= chosen.bit_length()) & (literal[at] - chosen.bit_count() >= least)]
+        if not len(own):
+            continue
+        rank = starts[own[:, None] + np.arange(width)] - starts[own][:, None]
+        name = spread(start, width)[own] & ((chosen >> rank) & 1 > 0)
+        words = np.where(name, NAME_SLOT, spread(hashes, width)[own])
+        found.append(mixed(list(words.T)))
+        ats.append(own)
+        wholes.append(total[own])
+        slots.append(spread(slot, width)[own] | name)
+    return tuple(map(np.concatenate, (found, ats, wholes, slots)))
 
 
 def windows(df: DataFrame, key: str, text: str, width: int, wanted=None) -> DataFrame:
-    """(key, h, slots, row, at, length): every window, with the values of its slots as "place value"; only ``wanted``
-    hashes if given. Of windows with slots, also a hash of their text, their place in it, and its length in words."""
+    """(key, h, whole, slots, row, at, length): every reading of every window, the window it is a reading of, and the
+    values of its slots as "place value"; only ``wanted`` hashes if given. Of those with slots, also a hash of their
+    text, their place in it, and its length in words."""
 
     def run(batches):
         want = wanted.value if wanted is not None else None
         for batch in batches:
-            rows, found, values, places, lengths = [], [], [], [], []
+            rows, found, wholes, values, places, lengths = [], [], [], [], [], []
             for row, t in enumerate(batch.column("text")):
-                tokens, hashes, slot = template(t.as_py() or "")
-                own, at = window_hashes(hashes, slot, width)
+                tokens, hashes, slot, start = template(t.as_py() or "")
+                own, at, whole, slots = window_hashes(hashes, slot, start, width)
                 if want is not None:
                     hit = np.zeros(len(own), bool)
                     if len(want):
                         hit = want[np.minimum(np.searchsorted(want, own), len(want) - 1)] == own
-                    own, at = own[hit], at[hit]
+                    own, at, whole, slots = own[hit], at[hit], whole[hit], slots[hit]
                 if not len(own):
                     continue
-                held = np.concatenate([[0], np.cumsum(slot)])
-                span = min(width, len(hashes))
-                some = held[at + span] - held[at]
+                some = slots.any(axis=1)
                 rows.append(np.full(len(own), row))
                 found.append(own.view(np.int64))
-                places.append(np.where(some > 0, at, -1))
+                wholes.append(whole.view(np.int64))
+                places.append(np.where(some, at, -1))
                 lengths.append(np.full(len(own), len(hashes)))
                 values += [
-                    [f"{i} {tokens[a + i]}" for i in range(span) if slot[a + i]] if s else [] for a, s in zip(at, some)
+                    [f"{i} {tokens[a + i]}" for i in np.flatnonzero(o).tolist()] if s else [] for a, o, s in zip(at.tolist(), slots, some)
                 ]
                 if len(values) > 50_000:
-                    yield _rows(batch, rows, found, values, places, lengths)
-                    rows, found, values, places, lengths = [], [], [], [], []
+                    yield _rows(batch, rows, found, wholes, values, places, lengths)
+                    rows, found, wholes, values, places, lengths = [], [], [], [], [], []
             if rows:
-                yield _rows(batch, rows, found, values, places, lengths)
+                yield _rows(batch, rows, found, wholes, values, places, lengths)
 
     whole = F.col(text).cast("string")
     rows = df.select(F.col(key).alias("key"), whole.alias("text"), F.xxhash64(whole).alias("row"))
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, h long, slots array<string>, row long, at long, length long")
+    return rows.mapInArrow(run, f"key {kind}, h long, whole long, slots array<string>, row long, at long, length long")
 
 
-def _rows(batch, rows, found, values, places, lengths):
+def _rows(batch, rows, found, wholes, values, places, lengths):
     take, at = pa.array(np.concatenate(rows)), np.concatenate(places)
     plain = at < 0
     return pa.RecordBatch.from_arrays(
         [
             batch.column("key").take(take),
             pa.array(np.concatenate(found)),
+            pa.array(np.concatenate(wholes)),
             pa.array(values, pa.list_(pa.string())),
             pa.array(batch.column("row").take(take).to_numpy(), mask=plain),
             pa.array(at, mask=plain),
             pa.array(np.concatenate(lengths), mask=plain),
         ],
-        ["key", "h", "slots", "row", "at", "length"],
+        ["key", "h", "whole", "slots", "row", "at", "length"],
     )
 
 
@@ -183,31 +213,38 @@ def contaminated(
 ) -> DataFrame:
     """Rows (key, item, n_windows, n_matched, share, reparameterised): each document and item that it contains."""
     of_items = stored(windows(items, item, item_text, width).withColumnRenamed("key", "item").distinct(), "items")
-    sizes = of_items.groupBy("item").agg(F.countDistinct("h").alias("n_windows"))
+    sizes = of_items.groupBy("item").agg(F.countDistinct("whole").alias("n_windows"))
     wanted = None
     if of_items.select("h").distinct().limit(most_sent + 1).count() <= most_sent:
         hashes = np.array([r.h for r in of_items.select("h").distinct().toLocalIterator()], np.int64).view(np.uint64)
         wanted = df.sparkSession.sparkContext.broadcast(np.sort(hashes))
     hits = windows(df, key, text, width, wanted).drop("length").distinct()
-    hits = hits.select("key", "h", F.col("slots").alias("own"), F.col("row").alias("own_row"), F.col("at").alias("own_at"))
-    met = hits.join(of_items, "h").select("key", "item", "h", "own", "slots", "own_row", "row", "length", (F.col("own_at") - F.col("at")).alias("off"))
+    hits = hits.select("key", "h", F.col("whole").alias("own_whole"), F.col("slots").alias("own"), F.col("row").alias("own_row"), F.col("at").alias("own_at"))
+    literal = (F.col("h") == F.col("whole")) & (F.col("h") == F.col("own_whole"))
+    off = (F.col("own_at") - F.col("at")).alias("off")
+    met = hits.join(of_items, "h").select("key", "item", "whole", literal.alias("literal"), "own", "slots", "own_row", "row", "length", off)
     met = stored(met.distinct(), "met")
     same = lambda a, b, *more: [a["key"].eqNullSafe(b["key"]), a["item"].eqNullSafe(b["item"]), *(a[m] == b[m] for m in more)]
     # Whatever the values, a document must hold enough windows of the item.
-    held = met.groupBy("key", "item").agg(F.countDistinct("h").alias("n_held"))
+    held = met.groupBy("key", "item").agg(F.countDistinct("whole").alias("n_held"))
     held = held.join(sizes, held["item"].eqNullSafe(sizes["item"])).select(held["*"], "n_windows")
     held = held.filter(F.col("n_held") / F.col("n_windows") >= least_share)
     met = stored(met.join(held, same(met, held)).select(met["*"]), "held")
     # A window without slots agrees with any mapping; the others by the values that their item's slots meet most often.
     off, length = F.col("off"), F.col("length")
     none = F.lit(0).cast("long")
-    group = lambda kind, own, row, i: F.struct(F.lit(kind).alias("kind"), own.alias("own"), row.alias("row"), i.cast("long").alias("i"))
-    some = lambda kind, i: group(kind, F.col("own_row"), F.col("row"), i)
-    groups = F.array(group(0, none, none, none), some(1, off), some(2, F.floor(off / length)), some(3, F.floor(off / length + 0.5)))
-    filled = met.filter(F.size("slots") > 0).select("key", "item", "h", "own", "slots", F.explode(groups).alias("group")).distinct()
+    group = lambda names, kind, own, row, i: F.struct(
+        F.lit(names).alias("names"), F.lit(kind).alias("kind"), own.alias("own"), row.alias("row"), i.cast("long").alias("i")
+    )
+    places = ((1, off), (2, F.floor(off / length)), (3, F.floor(off / length + 0.5)))
+    groups = lambda names: F.array(
+        group(names, 0, none, none, none), *(group(names, kind, F.col("own_row"), F.col("row"), i) for kind, i in places)
+    )
+    groups = F.when(F.col("literal"), F.concat(groups(False), groups(True))).otherwise(groups(True))
+    filled = met.filter(F.size("slots") > 0).select("key", "item", "whole", "own", "slots", F.explode(groups).alias("group")).distinct()
     filled = filled.withColumn("pair", F.explode(F.arrays_zip("slots", "own")))
     value = lambda c: F.regexp_replace(F.lower(c), r"^\d+ ", "")
-    pairs = filled.select("key", "item", "group", "h", "own", "slots", value("pair.slots").alias("s"), value("pair.own").alias("d"))
+    pairs = filled.select("key", "item", "group", "whole", "own", "slots", value("pair.slots").alias("s"), value("pair.own").alias("d"))
     counts = pairs.groupBy("key", "item", "group", "s", "d").agg(F.count("*").alias("c"))
     best = lambda by, other: counts.groupBy("key", "item", "group", by).agg(
         F.min(F.struct((-F.col("c")).alias("c"), F.col(other))).getField(other).alias(f"best_{other}")
@@ -216,17 +253,25 @@ def contaminated(
     p = pairs.join(forth, same(pairs, forth, "group", "s")).select(pairs["*"], "best_d")
     p = p.join(back, same(p, back, "group", "d")).select(p["*"], "best_s")
     agrees = (F.col("best_d") == F.col("d")) & (F.col("best_s") == F.col("s"))
-    checked = p.groupBy("key", "item", "group", "h", "own", "slots").agg(
+    checked = p.groupBy("key", "item", "group", "whole", "own", "slots").agg(
         F.min(agrees).alias("agrees"), F.max(F.col("s") != F.col("d")).alias("differs")
     )
-    occurrences = checked.filter("agrees").groupBy("key", "item", "group").agg(F.countDistinct("h").alias("n"), F.max("differs").alias("differs"))
+    plain = met.filter(F.size("slots") == 0).select("key", "item", "whole").distinct()
+    good = checked.filter("agrees")
+    good = good.join(plain, same(good, plain, "whole"), "left_anti")
+    occurrences = good.groupBy("key", "item", "group").agg(F.countDistinct("whole").alias("n"), F.max("differs").alias("differs"))
     first = F.min(F.struct((-F.col("n")).alias("n"), "differs")).alias("first")
-    most = occurrences.groupBy("key", "item").agg(first).select("key", "item", (-F.col("first.n")).alias("n"), "first.differs")
-    plain = met.filter(F.size("slots") == 0).groupBy("key", "item").agg(F.countDistinct("h").alias("n"), F.lit(False).alias("differs"))
-    matched = most.union(plain).groupBy("key", "item").agg(F.sum("n").alias("n_matched"), F.max("differs").alias("reparameterised"))
+    most = occurrences.groupBy("key", "item", F.col("group.names").alias("names")).agg(first)
+    most = most.select("key", "item", "names", (-F.col("first.n")).alias("n"), "first.differs")
+    plain = plain.groupBy("key", "item").agg(F.count("*").alias("n"), F.lit(False).alias("differs"))
+    plain = plain.select("key", "item", F.explode(F.array(F.lit(False), F.lit(True))).alias("names"), "n", "differs")
+    matched = most.union(plain).groupBy("key", "item", "names").agg(F.sum("n").alias("n_matched"), F.max("differs").alias("reparameterised"))
     matched = matched.join(sizes, matched["item"].eqNullSafe(sizes["item"])).select(matched["*"], "n_windows")
     share = F.col("n_matched") / F.col("n_windows")
-    out = matched.withColumn("share", share).filter(F.col("share") >= least_share)
+    matched = matched.withColumn("share", share).filter(F.col("share") >= least_share)
+    # Sentence starts count as words where that suffices.
+    out = matched.groupBy("key", "item").agg(F.min(F.struct("names", "n_windows", "n_matched", "share", "reparameterised")).alias("o"))
+    out = out.select("key", "item", "o.*")
     return out.select(F.col("key").alias(key), F.col("item").alias("item_id"), "n_windows", "n_matched", "share", "reparameterised")
 
 

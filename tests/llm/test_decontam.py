@@ -109,3 +109,15 @@ def test_each_occurrence_has_its_own_values(spark, docs):
     got = {r.doc_id: (r.n_matched / r.n_windows, r.reparameterised) for r in out.collect()}
     assert got.pop(6)[0] >= 0.8
     assert got == {0: (1.0, False), 1: (1.0, False), 2: (1.0, True), 4: (1.0, False), 5: (1.0, True)}
+
+
+def test_names_that_start_sentences(spark, docs):
+    story = "Mary has 12 apples. John buys 5 pears and 7 plums. Mary eats 3 plums. How many plums and pears are left for John?"
+    other = "Lucy has 70 apples. Paul buys 8 pears and 9 plums. Lucy eats 4 plums. How many plums and pears are left for Paul?"
+    mixed = "Lucy has 70 apples. Paul buys 8 pears and 8 plums. Paul eats 8 plums. How many plums and pears are left for Carl?"
+    texts = [story, other, "It is said that " + other.replace(". ", "; "), other + " " + story, mixed, "Yes. " + other.lower()]
+    items = spark.createDataFrame([(0, story)], "item_id long, text string")
+    got = {r.doc_id: (r.n_windows, r.n_matched, r.reparameterised) for r in decontam.contaminated(docs(texts), items).collect()}
+    total = len({g for g, _ in grams(story)})
+    assert got.pop(2)[1] >= 0.8 * total
+    assert got == {0: (total, total, False), 1: (total, total, True), 3: (total, total, False)}

@@ -14,6 +14,7 @@ whatever holds a whole window is removed in all of them; texts shorter than the
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -142,8 +143,12 @@ def cleaned(df: DataFrame, key: str = "doc_id", text: str = "text", window: int
     _, texts = without_repeats(df, key, text, window)
     whole = F.col(text).cast("string")
     rows = df.withColumn("__uid", F.unhex(F.md5(F.coalesce(whole, F.lit("")).cast("binary"))))
-    kept = F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("�"), F.lit(""))
-    # The replacement character may stand in a text of its own right; then it was there before.
-    changed = texts.select(F.col("uid").alias("__uid"), F.when(F.col("n_removed") > 0, kept).alias("__kept"))
+
+    def whole_characters(batches):  # U+FFFD that stands in a text is a whole character and stays
+        for batch in batches:
+            kept = [None if k is None else k.decode("utf-8", "ignore") for k in batch.column("kept").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("uid"), pa.array(kept, pa.string())], ["__uid", "__kept"])
+
+    changed = texts.filter("n_removed > 0").select("uid", "kept").mapInArrow(whole_characters, "__uid binary, __kept string")
     out = rows.join(changed, "__uid", "left")
     return out.withColumn(text, F.coalesce("__kept", text)).select(*df.columns)

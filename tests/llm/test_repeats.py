@@ -82,6 +82,12 @@ def test_cleaned_texts_keep_rows_and_columns(docs):
     assert [out[i].text for i in range(5)] == ["0", "1", "2", None, "short"]
 
 
+def test_cleaned_texts_keep_their_own_replacement_characters(docs):
+    texts = ["\ufffdé" + "x" * 50 + "日本" + str(i) + "\ufffd" for i in range(2)] + [b.decode() for b in ("a\ufffdè".encode() + b"y" * 50, "b\ufffdé".encode() + b"y" * 50)]
+    out = {r.doc_id: r.text for r in suffixarray.cleaned(docs(texts), window=40).collect()}
+    assert out == {0: "0\ufffd", 1: "1\ufffd", 2: "a\ufffdè", 3: "b\ufffdé"}
+
+
 def test_empty_table(docs):
     assert suffixarray.report(docs([])).count() == 0
     assert substrings.report(docs([])).count() == 0

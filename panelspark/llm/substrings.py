@@ -2,9 +2,9 @@
 
 Suffixes start at content-sampled anchors (see ``repeats``) and are grouped by a prefix of words: the gram of the
 anchor, or, where a gram is too frequent for one task, a longer prefix that is common to a block of windows, so prefixes
-have as many words as it takes for a group to fit in memory. Each group's subtree is built by levels: the children of a
-node of depth d are told apart by their next d words, and nodes with a single leaf are not followed. Its internal nodes
-at the depth of a window are the maximal repeats.
+have as many words as it takes for a group to fit in memory. Prefix doubling replaces the groups' suffix trees: runs of
+1, 2, 4 .. words are numbered level by level over all contexts of a batch, and runs that occur once are not followed. A
+run of a window's length that occurs twice is what a deep internal node would show; longer repeats are not built.
 
 Words are compared as words, never by hash alone. Defined results: matches never cross documents; a null text has no
 words; repeated rows are copies of each other; texts of fewer words than the window are left alone.

@@ -1,9 +1,9 @@
 """Suffix-array deduplication: bytes covered by a string of a fixed length that also starts anywhere else.
 
 Suffixes start at content-sampled anchors (see ``repeats``). Spark's sampled splitters range-partition them by their
-leading bytes. A bucket sorts its suffixes by multikey quicksort, eight bytes at a time; the longest common prefix with
+leading bytes. A bucket sorts its suffixes level by level, eight bytes at a time; the longest common prefix with
 a neighbour bounds how far to the right any other suffix can agree, which leaves the windows that end before it. Those
-are compared exactly. Splitters fall between different leading grams, and windows with different leading grams differ,
+decide: hashes propose equal ones, bytes check them. Splitters fall between different leading grams, and windows with different leading grams differ,
 so neighbours across a boundary have nothing in common that counts; a gram so frequent that it would fill a bucket is
 split by longer cores first.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import archives, bpe, decontam, embeddings, quality, simhash, substrings, suffixarray, tokencounts, toolcalls
+from panelspark.llm import archives, bpe, decontam, dialogues, embeddings, quality, simhash, substrings, suffixarray, tokencounts, toolcalls
 from panelspark.llm.tables import ORACLES, QUERIES, query, table
 from panelspark.session import scratch_path
 
@@ -77,3 +77,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of windows of 35 words that also start elsewhere."""
     return substrings.report(table(spark, sf_dir, "documents"), window=35)
+
+
+@query("op11_dialogues", dialogues.ORACLE)
+def op11_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, some of its rows damaged, with its faults and the cheapest edits that repair it."""
+    rows, copies = dialogues.damaged(table(spark, sf_dir, "conversations"))
+    return dialogues.repair(rows, copies=copies)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import archives, bpe, decontam, dialogues, embeddings, quality, simhash, substrings, suffixarray, tokencounts, toolcalls
+from panelspark.llm import archives, bpe, decontam, dialogues, embeddings, lexical, maxent, quality, simhash, substrings, suffixarray, tokencounts, toolcalls
 from panelspark.llm.tables import ORACLES, QUERIES, query, table
 from panelspark.session import scratch_path
 
@@ -84,3 +84,15 @@ def op11_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, some of its rows damaged, with its faults and the cheapest edits that repair it."""
     rows, copies = dialogues.damaged(table(spark, sf_dir, "conversations"))
     return dialogues.repair(rows, copies=copies)
+
+
+@query("op12_maxent")
+def op12_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by unigram counts and by a model learnt from the documents that are not held out."""
+    return maxent.scored(table(spark, sf_dir, "documents"))
+
+
+@query("op13_lexical_search", lexical.ORACLE)
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents ranked for each benchmark item, the ten best."""
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)

@@ -73,6 +73,17 @@ def unpacked(data: bytes, kind: type, n: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(size, n).T).view(kind).ravel()
 
 
+def sealed(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def opened(data: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(data).read_next_batch()
+
+
 def held_out(key: Column) -> Column:
     """Whether the row is kept from training: crc32 of the id as text leaves 1 when divided by 5."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 1, F.lit(False))
@@ -97,9 +108,10 @@ def tokens_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
 
 
 def blocks(docs: DataFrame, settings: Settings) -> DataFrame:
-    """Blocks of documents: their keys, which of them train, their sizes, the numbers of their tokens' words, frequent
-    words first, the words, and how often each occurs in training."""
-    names = ["block", "part", "keys", "train", "sizes", "numbers", "words", "counts"]
+    """Blocks of documents, each as one sealed batch: their keys, which of them train, their sizes, the numbers of their
+    tokens' words, frequent words first, the words, and how often each occurs in training. Spark sees no long arrays: it
+    would measure them anew with every row that it hands to Python."""
+    names = ["part", "keys", "train", "sizes", "numbers", "words", "counts"]
 
     def run(batches):
         at = TaskContext.get().partitionId() << 32
@@ -111,22 +123,29 @@ def blocks(docs: DataFrame, settings: Settings) -> DataFrame:
             numbers = place[numbers]
             train = ~batch.column("held").to_numpy(zero_copy_only=False)
             counts = np.bincount(numbers[np.repeat(train, sizes)], minlength=len(words))
+            round_of = crc32(at.to_bytes(8, "big")) % settings.rounds
             lists = [pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a) for a in (batch.column("key"), words.take(pa.array(order)), pa.array(counts))]
             blobs = [pa.array([b], pa.binary()) for b in (train.tobytes(), sizes.astype(np.int32).tobytes(), packed(numbers))]
-            round_of = crc32(at.to_bytes(8, "big")) % settings.rounds
-            yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([round_of], pa.int32()), lists[0], *blobs, *lists[1:]], names)
+            whole = pa.RecordBatch.from_arrays([pa.array([round_of]), lists[0], *blobs, *lists[1:]], names)
+            yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([sealed(whole)], pa.binary())], ["block", "whole"])
             at += 1
 
-    kind = docs.schema["key"].dataType.simpleString()
-    schema = f"block long, part int, keys array<{kind}>, train binary, sizes binary, numbers binary, words array<binary>, counts array<long>"
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, "block long, whole binary")
 
 
 def lexicon(made: DataFrame) -> DataFrame:
     """(word, block, place, n, first): the words of every block with their counts in training over all blocks; the first of
     the rows of a word is marked."""
-    each = made.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "entry"))
-    rows = each.select("block", "place", F.col("entry.words").alias("word"), F.col("entry.counts").alias("n"))
+
+    def run(batches):
+        for batch in batches:
+            for block, data in zip(batch.column("block").to_pylist(), batch.column("whole")):
+                own = opened(data.as_py())
+                words, counts = own.column("words").values, own.column("counts").values
+                columns = [words, pa.array(np.full(len(words), block)), pa.array(np.arange(len(words))), counts]
+                yield pa.RecordBatch.from_arrays(columns, ["word", "block", "place", "n"])
+
+    rows = made.mapInArrow(run, "word binary, block long, place long, n long")
     same = Window.partitionBy("word")
     return rows.select("word", "block", "place", F.sum("n").over(same).alias("n"), (F.min("block").over(same) == F.col("block")).alias("first"))
 
@@ -190,48 +209,41 @@ def leaves(vocabulary: DataFrame, total: float, settings: Settings) -> Leaves:
     return Leaves(of_word, cuts, cut_leaf, mass)
 
 
-def ready(made: DataFrame, words: DataFrame, found: Leaves, n: int, v: int) -> DataFrame:
+def ready(made: DataFrame, words: DataFrame, found: Leaves, n: int, v: int, key_type: str) -> DataFrame:
     """Blocks with what the model needs: for each token a hash of its word and its leaf; for each document the tokens known,
     the base score, and the part of the score inside leaves. A block meets its words sorted, so a task holds one block."""
-    names = ["block", "part", "keys", "train", "sizes", "known", "base", "inside", "hashes", "leaves"]
+    names = ["part", "keys", "train", "sizes", "known", "base", "inside", "hashes", "leaves"]
     floor = np.log10(n + 0.5 * (v + 1))
 
-    def block(row: dict, counts: np.ndarray) -> list:
-        of_word = np.array([found.of(w) for w in row["words"]], np.uint16)
-        hashes = np.array([crc32(w) & 0xFFFF for w in row["words"]], np.uint16)
+    def block(own: pa.RecordBatch, counts: np.ndarray) -> pa.RecordBatch:
+        members = own.column("words").values.to_pylist()
+        of_word = np.array([found.of(w) for w in members], np.uint16)
+        hashes = np.array([crc32(w) & 0xFFFF for w in members], np.uint16)
         mass = np.log10(counts + 0.5)
-        sizes = np.frombuffer(row["sizes"], np.int32)
+        sizes = np.frombuffer(own.column("sizes")[0].as_py(), np.int32)
         starts = np.cumsum(sizes) - sizes
-        at = unpacked(row["numbers"], np.uint32, int(sizes.sum()))
+        at = unpacked(own.column("numbers")[0].as_py(), np.uint32, int(sizes.sum()))
         known = np.add.reduceat((counts > 0).astype(np.int64)[at], starts)
         base = np.add.reduceat((mass - floor)[at], starts)
         inside = np.add.reduceat((mass - np.log10(found.mass[of_word]))[at], starts)
-        return [row["block"], row["part"], row["keys"], row["train"], row["sizes"], known.tobytes(), base.tobytes(), inside.tobytes(), packed(hashes[at]), packed(of_word[at])]
+        blobs = [known.tobytes(), base.tobytes(), inside.tobytes(), packed(hashes[at]), packed(of_word[at])]
+        given = [own.column(c) for c in names[:4]]
+        return pa.RecordBatch.from_arrays([*given, *(pa.array([b], pa.binary()) for b in blobs)], names)
 
     def run(batches):
         held: list[np.ndarray] = []
         for batch in batches:
-            is_block = np.flatnonzero(batch.column("words").is_valid().to_numpy(zero_copy_only=False))
-            counts = batch.column("n").to_numpy(zero_copy_only=False)
-            start = 0
-            for i in is_block.tolist():
+            counts, start = batch.column("n").to_numpy(zero_copy_only=False), 0
+            for i in np.flatnonzero(batch.column("whole").is_valid().to_numpy(zero_copy_only=False)).tolist():
                 held.append(counts[start:i])
-                row = batch.slice(i, 1).to_pylist()[0]
-                out = block(row, np.concatenate(held).astype(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(out, types(batch))], names)
+                yield block(opened(batch.column("whole")[i].as_py()), np.concatenate(held).astype(np.int64))
                 held, start = [], i + 1
             held.append(counts[start:].copy())
 
-    def types(batch):
-        return [pa.int64(), pa.int32(), batch.schema.field("keys").type, *[pa.binary()] * 7]
-
-    empty = lambda name: F.lit(None).cast(made.schema[name].dataType).alias(name)
-    own = ["part", "keys", "train", "sizes", "numbers", "words"]
-    entries = words.select("block", "place", "n", *map(empty, own))
-    whole = made.select("block", F.lit(1 << 31).alias("place"), F.lit(None).cast("long").alias("n"), *own)
-    placed = entries.withColumn("place", F.col("place").cast("long")).union(whole).repartition("block").sortWithinPartitions("block", "place")
-    schema = f"block long, part int, keys {made.schema['keys'].dataType.simpleString()}, " + ", ".join(f"{n} binary" for n in names[3:])
-    return placed.mapInArrow(run, schema)
+    entries = words.select("block", "place", "n", F.lit(None).cast("binary").alias("whole"))
+    wholes = made.select("block", F.lit((1 << 63) - 1).alias("place"), F.lit(None).cast("long").alias("n"), "whole")
+    placed = entries.union(wholes).repartition("block").sortWithinPartitions("block", "place").select("n", "whole")
+    return placed.mapInArrow(run, f"part long, keys array<{key_type}>, " + ", ".join(f"{n} binary" for n in names[2:]))
 
 
 @dataclass
@@ -296,14 +308,23 @@ class Model:
         return first, second
 
     @staticmethod
-    def shares(weights: np.ndarray, fired: list[np.ndarray], mass: np.ndarray) -> np.ndarray:
-        """The softmax of the rows that fired on top of the masses, for each token."""
-        out = weights[fired[0]] + mass
+    def masses(weights: np.ndarray, fired: list[np.ndarray], mass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """exp of the rows that fired on top of the masses, for each token, and its sum. Exponents are kept within +-60,
+        which keeps floats finite; a leaf without mass gets e^-60 of its class."""
+        out = np.take(weights, fired[0], axis=0, mode="clip")
+        more = np.empty_like(out)
         for f in fired[1:]:
-            out += weights[f]
-        out -= out.max(1, keepdims=True)
+            out += np.take(weights, f, axis=0, out=more, mode="clip")
+        out += mass
+        np.clip(out, -60.0, 60.0, out=out)
         np.exp(out, out=out)
-        out /= out.sum(1, keepdims=True)
+        return out, out.sum(1)
+
+    @staticmethod
+    def shares(weights: np.ndarray, fired: list[np.ndarray], mass: np.ndarray) -> np.ndarray:
+        """The softmax for each token."""
+        out, whole = Model.masses(weights, fired, mass)
+        out /= whole[:, None]
         return out
 
     def step(self, weights: np.ndarray, hits: np.ndarray, fired: list[np.ndarray], shares: np.ndarray, target: np.ndarray) -> None:
@@ -311,11 +332,13 @@ class Model:
         n, width = shares.shape
         shares[np.arange(n), target] -= 1.0
         flat, columns = weights.reshape(-1), np.arange(width)
+        moved = np.empty_like(shares)
         for f in fired:
             times = np.bincount(f)
             hits[: len(times)] += times
             pace = (-self.settings.rate / np.sqrt(hits[f])).astype(np.float32)
-            np.add.at(flat, (f[:, None] * width + columns).ravel(), (shares * pace[:, None]).ravel())
+            np.multiply(shares, pace[:, None], out=moved)
+            np.add.at(flat, (f[:, None] * width + columns).ravel(), moved.ravel())
 
     def train(self, hashes: np.ndarray, leaf: np.ndarray, sizes: np.ndarray) -> None:
         first, second = self.features(hashes, leaf, sizes)
@@ -336,9 +359,9 @@ class Model:
         for at in range(0, len(leaf), self.settings.batch):
             now = slice(at, at + self.settings.batch)
             n = np.arange(len(leaf[now]))
-            a = self.shares(self.weights.first, [f[now] for f in first], self.first_mass)[n, inside[now]]
-            b = self.shares(self.weights.second, [f[now] for f in second], self.second_mass[inside[now]])[n, member[now]]
-            out[now] = np.log10(np.maximum(a, 1e-30)) + np.log10(np.maximum(b, 1e-30))
+            a, whole = self.masses(self.weights.first, [f[now] for f in first], self.first_mass)
+            b, part = self.masses(self.weights.second, [f[now] for f in second], self.second_mass[inside[now]])
+            out[now] = np.log10(a[n, inside[now]] / whole) + np.log10(b[n, member[now]] / part)
         return out
 
 
@@ -438,8 +461,8 @@ def scored(df: DataFrame, key: str = "doc_id", text: str = "text", settings: Set
     known = words.filter(F.col("first") & (F.col("n") > 0))
     v, n = known.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     found = leaves(known.select("word", (F.col("n") + 0.5).alias("mass")), n + 0.5 * v, settings)
-    tokens = stored(ready(made, words, found, n, v), "tokens")
-    weights = spark.sparkContext.broadcast(trained(tokens, found.mass, n, settings))
     kind = docs.schema["key"].dataType.simpleString()
+    tokens = stored(ready(made, words, found, n, v, kind), "tokens")
+    weights = spark.sparkContext.broadcast(trained(tokens, found.mass, n, settings))
     out = tokens.mapInArrow(_scorer(weights, found.mass, settings), f"key {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select(F.col("key").alias(key), "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")

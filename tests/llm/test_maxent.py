@@ -92,7 +92,7 @@ def test_probabilities_add_up_after_every_history(spark, docs):
     found = maxent.leaves(known.select("word", (F.col("n") + 0.5).alias("mass")), n + v / 2, SMALL)
     assert found.mass.sum() == pytest.approx(n + v / 2 + 0.5 * len(found.cut_leaf))
     assert len(found.alone) <= SMALL.leaves // 2 and len(found.alone) + len(found.cut_leaf) <= SMALL.leaves
-    tokens = maxent.stored(maxent.ready(made, words, found, n, v), "tokens")
+    tokens = maxent.stored(maxent.ready(made, words, found, n, v, "bigint"), "tokens")
     weights = maxent.trained(tokens, found.mass, n, SMALL)
     assert np.abs(weights.first).sum() > 0 and weights.first_hits.sum() == 3 * n and weights.second_hits.sum() == 2 * n
     model = maxent.Model(weights, found.mass, SMALL)

@@ -9,7 +9,7 @@ from panelspark import pipeline
 from panelspark.operators.quality import require_passed, verdicts
 from panelspark.session import remove_scratch
 from panelspark.sinks.tables import declare_warehouse, export_tables
-from panelspark.streaming.observations import landed_observations, start_store
+from panelspark.streaming.observations import landed_observations, read_rejected, start_store
 
 
 def _places(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -18,7 +18,8 @@ def _places(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _gdp(spark: SparkSession, args: argparse.Namespace) -> None:
-    bronze = pipeline.load_gdp(spark, args.input, args.dimension, args.out)
+    load = pipeline.load_gdp_changes if args.changes else pipeline.load_gdp
+    bronze = load(spark, args.input, args.dimension, args.out)
     print(f"bronze: {bronze.rows:,} rows, {bronze.unmapped:,} without a known place")
     for table, rows in pipeline.build_gdp(spark, args.out).items():
         print(f"{table}: {rows:,} rows")
@@ -39,10 +40,12 @@ def _epa(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _observations(spark: SparkSession, args: argparse.Namespace) -> None:
     root = f"{args.out}/air_quality"
-    query = start_store(
-        landed_observations(spark, args.input), f"{root}/history", f"{root}/current", f"{root}/checkpoint", args.every
+    landed = landed_observations(
+        spark, args.input, files_per_batch=args.files_per_batch, archive=args.archive, keep_malformed=True
     )
-    query.awaitTermination()
+    paths = [f"{root}/{name}" for name in ("history", "current", "checkpoint")]
+    start_store(landed, *paths, args.every, f"{root}/rejected").awaitTermination()
+    print(f"malformed files: {read_rejected(spark, f'{root}/rejected').count():,}")
 
 
 def _check(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -82,10 +85,14 @@ def main(argv: list[str]) -> None:
         return sub
 
     flow("places", _places, source=True).add_argument("--names", required=True, help="JSON file of place names")
-    flow("gdp", _gdp, source=True, dimension=True)
+    gdp = flow("gdp", _gdp, source=True, dimension=True)
+    gdp.add_argument("--changes", action="store_true", help="load only the states whose files or places have changed")
     flow("population", _population, source=True, dimension=True)
     flow("epa", _epa, source=True)
-    flow("observations", _observations, source=True).add_argument("--every", help='interval, such as "20 minutes"')
+    observations = flow("observations", _observations, source=True)
+    observations.add_argument("--every", help='interval, such as "20 minutes"')
+    observations.add_argument("--files-per-batch", type=int, help="most files that one batch takes in")
+    observations.add_argument("--archive", help="folder to which files move that are done with")
     for name, run in (("check", _check), ("export", _export)):
         sub = flow(name, run)
         flows_of = ["gdp", "population"] + ["observations"] * (name == "export")

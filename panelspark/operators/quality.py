@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.session import written
+
 
 class QualityError(ValueError):
     """A gate was not passed."""
@@ -53,6 +55,50 @@ def profile(df: DataFrame, entity: str, period: str) -> DataFrame:
     )
 
 
+def distinct_bitmaps(df: DataFrame, by: Sequence[str], code: str) -> DataFrame:
+    """Rows (by, bucket, bits): the distinct values of a whole-number code in each group, as bitmaps of 32,768 codes.
+
+    Bitmaps of several groups put together by ``merged_bitmaps`` count a code once, which counts do not. They suit codes
+    that lie close together; a code far from all others costs a bitmap of its own. Null is no value.
+    """
+    code = F.col(code).cast("long")
+    known = df.filter(code.isNotNull())
+    return known.groupBy(*by, F.bitmap_bucket_number(code).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(code)).alias("bits")
+    )
+
+
+def merged_bitmaps(bitmaps: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The bitmaps of coarser groups."""
+    return bitmaps.groupBy(*by, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def distinct_counts(bitmaps: DataFrame, by: Sequence[str], name: str) -> DataFrame:
+    """The number of distinct codes in each group of the bitmaps."""
+    return bitmaps.groupBy(*by).agg(F.sum(F.bitmap_count("bits")).alias(name))
+
+
+def profile_codes(df: DataFrame, entity: str, period: str) -> DataFrame:
+    """``profile`` for an entity and a period that are whole numbers: one pass that keeps a bitmap of each for every
+    bucket of codes, in place of a copy of the rows for each distinct count."""
+    codes = {"entity": F.col(entity).cast("long"), "period": F.col(period).cast("long")}
+    cells = df.groupBy(*[F.bitmap_bucket_number(c).alias(f"{n}_bucket") for n, c in codes.items()]).agg(
+        F.count("*").alias("row_count"),
+        *[F.bitmap_construct_agg(F.bitmap_bit_position(c)).alias(n) for n, c in codes.items()],
+    )
+    cells = written(cells)
+
+    def counted(name: str) -> DataFrame:
+        bits = F.bitmap_count(F.bitmap_or_agg(name)).alias("n")
+        return cells.groupBy(f"{name}_bucket").agg(bits, F.sum("row_count").alias("row_count"))
+
+    none = F.lit(0).cast("long")
+    parts = counted("entity").select("row_count", F.col("n").alias("entity_count"), none.alias("period_count"))
+    parts = parts.unionAll(counted("period").select(none, none, "n"))
+    zero = F.lit(0).cast("long")
+    return parts.agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in parts.columns])
+
+
 def table_report(df: DataFrame, name: str, expected: Expectation) -> DataFrame:
     """Rows (table_name, check_name, observed, expected, passed), one aggregation over the table.
 

@@ -33,6 +33,10 @@ def _picked(df: DataFrame, group: Sequence[str], pick: Column, label: str, value
     )
 
 
+#: Parts in which the rows that may tie at an extreme meet it.
+PARTS = 16
+
+
 def extremes(
     df: DataFrame, group: Sequence[str], value: str, key: str, label: str, sides: Sequence[str] = ("best", "worst")
 ) -> DataFrame:
@@ -41,16 +45,25 @@ def extremes(
     An aggregate that carries text makes Spark sort all rows by group. Here the
     rows only pass a hash aggregation of numbers. Its result, one row per group, is
     written, and the rows that hold an extreme are joined back: by broadcast if the
-    written table is small, else on (group, value). That key is as hot as many rows
-    tie at an extreme; a join that has to split such a key does.
+    written table is small, else on (group, value, part). Rows that tie are dealt to
+    the parts by their key, so however many there are, no task gets more than its
+    share; there each part leaves its first row, and at last the first of those counts.
     """
+    found = _at_extremes(df, group, value, key, label, sides)
+    row = F.struct(key, label, value)
+    first = found.groupBy(*group, "side", "part").agg(F.min(row).alias("row"))
+    return first.groupBy(*group).agg(*[F.min(F.when(F.col("side") == side, F.col("row"))).alias(side) for side in sides])
+
+
+def _at_extremes(
+    df: DataFrame, group: Sequence[str], value: str, key: str, label: str, sides: Sequence[str]
+) -> DataFrame:
+    """The rows that hold an extreme of their group, with its side and their part."""
     pick = {"best": F.max(value), "worst": F.min(value)}
     bounds = df.groupBy(*group).agg(*[pick[side].alias(side) for side in sides])
-    bounds = written(bounds).unpivot(list(group), list(sides), "side", "bound")
+    parts = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part")
+    bounds = written(bounds.unpivot(list(group), list(sides), "side", "bound").filter("bound is not null").select("*", parts))
+    facts = df.select(*group, value, key, label, F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int").alias("part"))
     same = [F.col(f"facts.{c}").eqNullSafe(F.col(f"bounds.{c}")) for c in group]
-    same.append(F.col(f"facts.{value}") == F.col("bounds.bound"))
-    found = df.select(*group, value, key, label).alias("facts").join(bounds.alias("bounds"), same)
-    row = F.struct(*[F.col(f"facts.{c}").alias(c) for c in (key, label, value)])
-    return found.groupBy(*[F.col(f"facts.{c}").alias(c) for c in group]).agg(
-        *[F.min(F.when(F.col("side") == side, row)).alias(side) for side in sides]
-    )
+    same += [F.col(f"facts.{value}") == F.col("bounds.bound"), F.col("facts.part") == F.col("bounds.part")]
+    return facts.alias("facts").join(bounds.alias("bounds"), same).select("facts.*", "bounds.side")

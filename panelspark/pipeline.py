@@ -10,12 +10,16 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelspark import schemas
+from panelspark.functions.keys import entity_key_from_file, file_base_name
 from panelspark.operators.joins import build_dimension, unmapped_keys
 from panelspark.operators.quality import Expectation, quality_report, require_rows, require_unique
 from panelspark.places import state_names
 from panelspark.plans import airquality, gdp, population
+from panelspark.session import remove, written
+from panelspark.sinks import ledger
 from panelspark.sinks.files import write_csv, write_partitioned, write_table
 from panelspark.sinks.tables import WAREHOUSE, Load, load
 from panelspark.sources.files import (
@@ -23,12 +27,13 @@ from panelspark.sources.files import (
     scan_csv,
     scan_dimension,
     scan_entity_csv,
-    scan_json_dir,
     scan_or_empty,
     scan_place_names,
     scan_table,
 )
-from panelspark.streaming.observations import read_history, read_snapshot
+from panelspark.sources.manifest import changed, listed_files, read_manifest
+from panelspark.sources.records import scan_records
+from panelspark.streaming.observations import read_snapshot
 
 COUNTY_ORDER = ["state_code", "fips_code", "year"]
 
@@ -65,6 +70,35 @@ def load_gdp(spark: SparkSession, csv_glob: str, dimension_path: str, out: str)
     return Bronze(path, count, unmapped.count())
 
 
+def load_gdp_changes(spark: SparkSession, csv_glob: str, dimension_path: str, out: str) -> Bronze:
+    """As ``load_gdp``, but only for the states in which something has changed since; ``rows`` are those written.
+
+    A manifest beside the table holds every file with its length, time, county and the place the county has. Where a file or
+    a place differs, the state is read and written anew, and no other file is opened. A failed run is made good by the next,
+    since the manifest is written last.
+    """
+    path, places = f"{out}/bronze/gdp_data", _dimension(spark, dimension_path)
+    place = places.select("fips_code", "state_code", F.sha2(F.to_json(F.struct(*sorted(places.columns))), 256).alias("place"))
+    files = listed_files(spark, csv_glob).withColumn("fips_code", entity_key_from_file(file_base_name(F.col("path"))))
+    files = written(files.join(place, "fips_code", "left").select("path", "length", "modified", "fips_code", "state_code", "place"))
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in files.schema)
+    before = read_manifest(spark, f"{path}_files", ddl)
+    states = written(changed(files, before, ["state_code"]))
+    touched = files.join(states.withColumnRenamed("state_code", "s"), F.col("state_code").eqNullSafe(F.col("s")), "left_semi")
+    paths = [r.path for r in touched.select("path").collect()]  # as many as Spark opens
+    count = 0
+    if paths:
+        rows = gdp.bronze(scan_entity_csv(spark, paths), places)
+        count = write_partitioned(rows, path, "state_code", given_only=True)
+    left = states.join(files.select(F.col("state_code").alias("s")), F.col("state_code").eqNullSafe(F.col("s")), "left_anti")
+    for row in left.collect():  # at most one for each state
+        remove(spark, f"{path}/state_code={row.state_code or '__HIVE_DEFAULT_PARTITION__'}")
+    if count or not states.isEmpty():
+        files.write.mode("overwrite").parquet(f"{path}_files")
+    unmapped = scan_table(spark, path, schemas.BRONZE_GDP).filter("state_code is null")
+    return Bronze(path, count, unmapped.count())
+
+
 def load_places(spark: SparkSession, codes_path: str, names_path: str, out: str) -> tuple[int, int]:
     """Code lines and place names to the dimension file; returns the codes with and without a name."""
     codes = scan_code_list(spark, codes_path)
@@ -133,8 +167,9 @@ def _derived(by_year: DataFrame, out: str, name: str, plans) -> dict[str, int]:
 
 
 def consolidate_epa(spark: SparkSession, json_glob: str, out: str) -> int:
-    """The per-city JSON files to one curated table; returns its rows."""
-    return write_table(airquality.consolidate(scan_json_dir(spark, json_glob)), f"{out}/curated/all_epa_data")
+    """The per-city JSON files, lists or objects with a list under ``Data``, to one curated table; returns its rows."""
+    records = scan_records(spark, json_glob, schemas.EPA_RECORD)
+    return write_table(airquality.consolidate(records), f"{out}/curated/all_epa_data")
 
 
 def build_epa(spark: SparkSession, out: str) -> dict[str, int]:
@@ -190,7 +225,12 @@ def check_published(
 
 
 def publish_observations(spark: SparkSession, out: str, database: str = "default") -> list[Load]:
-    """History and snapshot of the stream to their declared tables; the same again gives the same tables."""
-    history = read_history(spark, f"{out}/air_quality/history").drop("run", "batch_id")
+    """What the stream has stored since the last publish: new batches are added to the history table, and the snapshot
+    table is replaced by the rows of the snapshot that counts. Without new batches both stay as they are."""
+    history, table = f"{out}/air_quality/history", f"{database}.AIR_QUALITY_13_CITIES"
+    read = lambda batches: ledger.read_batches(spark, history, schemas.AQI_HISTORY, batches)
+    added = ledger.load_new(spark, table, ledger.finished_batches(spark, history), read)
+    if not added:
+        return [Load(name, False, "nothing new") for name in (table, f"{database}.AQI_REALTIME")]
     current = read_snapshot(spark, f"{out}/air_quality/current")
-    return [load(history, f"{database}.AIR_QUALITY_13_CITIES"), load(current, f"{database}.AQI_REALTIME")]
+    return [Load(table, True, rows=added), load(current, f"{database}.AQI_REALTIME")]

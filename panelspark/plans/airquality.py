@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark import schemas
@@ -86,6 +86,11 @@ def last_batch(history: DataFrame) -> DataFrame:
     return history.join(F.broadcast(latest), BATCH_COLUMNS, "left_semi")  # one row
 
 
+def latest_value(order: Sequence[str]) -> Column:
+    """The value of the latest row by the order columns; of rows that are equal in them, the highest."""
+    return F.max_by("AQI", F.struct(*order, "AQI"))
+
+
 def latest_per_key(history: DataFrame, order: Sequence[str]) -> DataFrame:
     """The latest value of every city and pollutant, by the order columns.
 
@@ -101,5 +106,5 @@ def latest_per_key(history: DataFrame, order: Sequence[str]) -> DataFrame:
         rows.alias("rows")
         .join(newest.alias("newest"), same)
         .groupBy(*[F.col(f"rows.{k}").alias(k) for k in keys])
-        .agg(F.max_by("AQI", F.struct(*order[1:], "AQI")).alias("AQI"))
+        .agg(latest_value(order[1:]).alias("AQI"))
     )

@@ -1,15 +1,20 @@
 """Queries over the air-quality tables, batch and stream."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from panelspark import schemas
+from panelspark import pipeline, schemas
 from panelspark.functions import city_and_pollutant, decoded_file_name
 from panelspark.operators import filters, joins, project, setops
 from panelspark.plans import airquality, gdp, population
 from panelspark.queries import gdp as gdp_queries
 from panelspark.queries import people
 from panelspark.queries.registry import SQL_VIEWS, query
-from panelspark.session import scratch_path
+from panelspark.session import scratch_path, written
+from panelspark.sinks import files as sinks
+from panelspark.sinks.tables import declare_warehouse
+from panelspark.sources.records import malformed_files, scan_records
 from panelspark.streaming import observations as stream
 from panelspark.testtables import (
     COUNTY_WIDTH,
@@ -114,6 +119,27 @@ def join_panels(spark, sf):
     return joins.join_panels(means, both, ["fips_code", "year"])
 
 
+@query("""
+    select state_code, county_code, cast(year as integer) as year, arithmetic_mean, source_file,
+           cast(2 as bigint) as malformed
+    from epa_obs""")
+def scan_json_documents(spark, sf):
+    """The yearly records as JSON documents, half of them plain lists and half lists under a name, beside two broken
+    files, read by split; strings hold what looks like JSON."""
+    rows, folder = epa_obs(spark, sf), scratch_path(spark, "documents")
+    tricky = F.struct(F.lit('}], "Data": [{').alias("text"), F.array(F.struct("obs_id")).alias("nested"))
+    rows = rows.select("state_code", "county_code", "year", "arithmetic_mean", tricky.alias("city"), F.col("source_file").alias("state"), "obs_id")
+    for wrapped in (False, True):
+        half = rows.filter(F.col("obs_id") % 2 == int(wrapped)).drop("obs_id")
+        sinks.write_json_arrays(half, f"{folder}/{wrapped}", wrapped)
+    for name, text in (("cut", '[{"state_code": "1"}, {"year": 20'), ("half", '{"Data": [{"state_code": "1"}]')):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{folder}/{name}")
+    found = scan_records(spark, f"{folder}/*", schemas.EPA_RECORD)
+    broken = malformed_files(spark, f"{folder}/*").count()
+    kept = found.select("state_code", "county_code", "year", "arithmetic_mean", F.col("state").alias("source_file"))
+    return kept.withColumn("malformed", F.lit(broken).cast("long"))
+
+
 # --- observations ----------------------------------------------------------
 
 
@@ -207,16 +233,30 @@ def _finish(running, seconds=3600):
         raise TimeoutError(f"the stream did not end in {seconds} seconds")
 
 
-def _stored_in_three(spark, sf):
+def _stored_in_three(spark, sf, folder=None, then=lambda: None):
     """The events of each third of the day landed and stored one after another: three batches of one store."""
-    events, folder = table(spark, sf, "events"), scratch_path(spark, "aqi")
+    events, folder = table(spark, sf, "events"), folder or scratch_path(spark, "aqi")
     for third in range(3):
         part = events.filter(F.floor(F.hour("ts") / 8) == third)
         part.write.mode("append").parquet(f"{folder}/landed")
         landed = spark.readStream.schema(events.schema).parquet(f"{folder}/landed")
         rows = observation_records(observations(landed))
-        _finish(stream.start_store(rows, f"{folder}/history", f"{folder}/snapshot", f"{folder}/checkpoint"))
-    return f"{folder}/history", f"{folder}/snapshot"
+        _finish(stream.start_store(rows, f"{folder}/history", f"{folder}/current", f"{folder}/checkpoint"))
+        then()
+    return f"{folder}/history", f"{folder}/current"
+
+
+def _published(spark, sf, name, *columns):
+    """A published table after three batches were stored and each was published, the last one twice."""
+    folder, database = scratch_path(spark, "aqi"), f"aqi_{uuid.uuid4().hex}"
+    spark.sql(f"create database {database}")
+    try:
+        declare_warehouse(spark, database)
+        _stored_in_three(spark, sf, f"{folder}/air_quality", lambda: pipeline.publish_observations(spark, folder, database))
+        pipeline.publish_observations(spark, folder, database)
+        return written(spark.table(f"{database}.{name}").select(*columns))
+    finally:
+        spark.sql(f"drop database {database} cascade")
 
 
 @query("select *, cast(0 as bigint) as batch_id from aqi_stored")
@@ -241,3 +281,55 @@ def aqi_stream_history_in_batches(spark, sf):
 def aqi_stream_snapshot_of_last_batch(spark, sf):
     """The snapshot after three batches: the rows of the last."""
     return stream.read_snapshot(spark, _stored_in_three(spark, sf)[1])
+
+
+@query("select *, cast(1 as bigint) as malformed from aqi_stored")
+def aqi_landed_json(spark, sf):
+    """The events landed as JSON documents beside a broken one, taken in two files at a time."""
+    folder = scratch_path(spark, "aqi")
+    rows = _records(spark, sf).drop("event_id", "ts")
+    sinks.write_json_arrays(rows.repartition(5, "TargetCity", "HourObserved"), f"{folder}/landed")
+    broken = spark.createDataFrame([('[{"AQI": 1}, {"AQI"',)], "value string")
+    broken.coalesce(1).write.mode("append").text(f"{folder}/landed")
+    landed = stream.landed_observations(spark, f"{folder}/landed", files_per_batch=2, keep_malformed=True)
+    paths = [f"{folder}/{name}" for name in ("history", "current", "checkpoint")]
+    _finish(stream.start_store(landed, *paths, rejected_path=f"{folder}/rejected"))
+    rejected = stream.read_rejected(spark, f"{folder}/rejected").count()
+    stored = stream.read_history(spark, f"{folder}/history").drop("run", "batch_id")
+    return stored.withColumn("malformed", F.lit(rejected).cast("long"))
+
+
+@query("""
+    select TARGETCITY as CITY, PARAMETERNAME as POLLUTANT_TYPE, AQI as VALUE from
+      (select *, row_number() over (partition by TARGETCITY, PARAMETERNAME
+                                    order by DATEOBSERVED desc, HOUROBSERVED desc, AQI desc) as place
+       from aqi_stored) as t where place = 1""")
+def aqi_latest_running(spark, sf):
+    """The table of latest values kept by the state of a stream, after three batches that came out of order."""
+    folder, events = scratch_path(spark, "aqi"), table(spark, sf, "events")
+    for third in (1, 2, 0):
+        events.filter(F.floor(F.hour("ts") / 8) == third).write.mode("append").parquet(f"{folder}/landed")
+        landed = spark.readStream.schema(events.schema).parquet(f"{folder}/landed")
+        rows = airquality.history_rows(observation_records(observations(landed)))
+        _finish(stream.start_latest(rows, f"{folder}/latest", f"{folder}/checkpoint"))
+    return stream.read_snapshot(spark, f"{folder}/latest")
+
+
+@query("select *, cast(floor(HOUROBSERVED / 8) + 1 as bigint) as LOAD_ID from aqi_stored")
+def aqi_published_history(spark, sf):
+    """The history table after three publishes of three batches and one of nothing: each batch once, in its own load."""
+    return _published(spark, sf, "AIR_QUALITY_13_CITIES", "*")
+
+
+@query("""
+    select cast(floor(HOUROBSERVED / 8) + 1 as bigint) as load_id, 'done' as state, count(*) as row_count
+    from aqi_stored group by all""")
+def aqi_publish_ledger(spark, sf):
+    """What the ledger tells of the same publishes."""
+    return _published(spark, sf, "AIR_QUALITY_13_CITIES_LOADS", "load_id", "state", "row_count").filter("state = 'done'")
+
+
+@query("select TARGETCITY as CITY, PARAMETERNAME as POLLUTANT_TYPE, AQI as VALUE from aqi_stored where HOUROBSERVED >= 16")
+def aqi_published_snapshot(spark, sf):
+    """The snapshot table after the same publishes: the rows of the last batch."""
+    return _published(spark, sf, "AQI_REALTIME", "*")

@@ -256,3 +256,25 @@ def rollup_shares(spark, sf):
     from pop_county""")
 def profile_table(spark, sf):
     return quality.profile(_county(spark, sf), "fips_code", "year")
+
+
+@query("""
+    select count(*) as row_count, count(distinct fips_code) as entity_count, count(distinct year) as period_count
+    from pop_county""")
+def profile_by_bitmaps(spark, sf):
+    """The profile from bitmaps of the county codes and years."""
+    return quality.profile_codes(_county(spark, sf), "fips_code", "year")
+
+
+@query("""
+    select state_code, cast(null as integer) as year, count(distinct fips_code) as counties from pop_county group by state_code
+    union all select null, year, count(distinct fips_code) from pop_county group by year
+    union all select state_code, year, count(distinct fips_code) from pop_county group by state_code, year""")
+def distinct_counts_by_level(spark, sf):
+    """Counties of every state and year, of states and of years, all from the bitmaps of the first."""
+    fine = written(quality.distinct_bitmaps(_county(spark, sf), ["state_code", "year"], "fips_code"))
+    out = quality.distinct_counts(fine, ["state_code", "year"], "counties")
+    for level in ("state_code", "year"):
+        counts = quality.distinct_counts(quality.merged_bitmaps(fine, [level]), [level], "counties")
+        out = out.unionByName(counts, allowMissingColumns=True)
+    return out

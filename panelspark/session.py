@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 _made: dict[str, list[str]] = {}  # by application, the scratch folders not yet removed
+_named: dict[str, list[str]] = {}  # and the catalog tables over some of them
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -33,11 +34,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def scratch_table(spark: SparkSession, name: str) -> tuple[str, str]:
+    """A fresh name for a catalog table and a path for its files, both for ``remove_scratch`` to take away."""
+    path = scratch_path(spark, name)
+    table = f"{name}_{path.rsplit('-', 1)[1]}"
+    _named.setdefault(spark.sparkContext.applicationId, []).append(table)
+    return table, path
+
+
 def remove_scratch(spark: SparkSession) -> int:
-    """Delete the scratch folders of this application and return their number.
+    """Delete the scratch folders of this application, drop its scratch tables, and return the number of folders.
 
     Call it when the results that read them are written, at the latest before the session stops.
     """
+    for table in _named.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"drop table if exists {table}")
     paths = _made.pop(spark.sparkContext.applicationId, [])
     for path in paths:
         remove(spark, path)

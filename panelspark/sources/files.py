@@ -1,22 +1,23 @@
 """Typed scans of CSV, JSON, Parquet and text."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from panelspark import schemas
 from panelspark.functions.keys import CODE_LINE_PATTERN, entity_key_from_file
+from panelspark.sources.records import scan_records
 
 
-def scan_csv(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str | list[str], ddl: str) -> DataFrame:
     """CSV with a header line; columns bind by position, a bad value reads as null."""
     return spark.read.schema(ddl).option("header", True).option("enforceSchema", True).csv(path)
 
 
-def scan_entity_csv(spark: SparkSession, path_glob: str, ddl: str = schemas.GDP_RAW) -> DataFrame:
+def scan_entity_csv(spark: SparkSession, path_glob: str | list[str], ddl: str = schemas.GDP_RAW) -> DataFrame:
     """One file per entity, with the entity key of the file name; other files give the key ""."""
     rows = scan_csv(spark, path_glob, ddl)
     return rows.withColumn("fips_code", entity_key_from_file(F.col("_metadata.file_name")))
@@ -67,21 +68,17 @@ def scan_observations(spark: SparkSession, path: str, ddl: str = schemas.AQI_OBS
 
 def without_malformed(rows: DataFrame, ddl: str) -> DataFrame:
     """The rows without their ``_bad`` column and without malformed files: those are one row with nothing but its text."""
-    fields = [F.col(f.name) for f in StructType.fromDDL(ddl)]
-    malformed = F.col("_bad").isNotNull() & F.coalesce(*[f.cast("string") for f in fields]).isNull()
-    return rows.filter(~malformed).drop("_bad")
+    return rows.filter(~is_malformed([f.name for f in StructType.fromDDL(ddl)])).drop("_bad")
 
 
-def scan_wrapped_records(spark: SparkSession, path_glob: str, ddl: str = schemas.EPA_RECORD) -> DataFrame:
-    """Records of files that hold a list, or an object with the list under ``Data``.
+def is_malformed(fields: Sequence[str]) -> Column:
+    """Whether a row is a malformed file: its text in ``_bad`` and no field."""
+    return F.col("_bad").isNotNull() & F.coalesce(*[F.col(f).cast("string") for f in fields]).isNull()
 
-    A JSON document cannot be split, so each file is one row until its records are exploded.
-    """
-    text = spark.read.text(path_glob, wholetext=True)
-    is_list = F.ltrim("value").startswith("[")
-    plain = F.from_json("value", f"array<struct<{ddl}>>")
-    wrapped = F.from_json("value", f"struct<Data: array<struct<{ddl}>>>")["Data"]
-    return text.select(F.explode(F.when(is_list, plain).otherwise(wrapped)).alias("record")).select("record.*")
+
+def scan_wrapped_records(spark: SparkSession, path_glob: str, ddl: str = schemas.EPA_RECORD) -> DataFrame:
+    """Records of files that hold a list, or an object with the list under ``Data``, however large a file is."""
+    return scan_records(spark, path_glob, ddl).drop("source_file")
 
 
 def parse_code_list(lines: DataFrame) -> DataFrame:

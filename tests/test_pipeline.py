@@ -8,6 +8,7 @@ import pytest
 from panelspark import pipeline, schemas
 from panelspark.operators.quality import Expectation, QualityError, require_passed, verdicts
 from panelspark.plans import gdp
+from panelspark.sinks import ledger
 from panelspark.sinks.tables import declare_warehouse, export_tables
 from panelspark.sources.files import scan_dimension
 
@@ -79,6 +80,49 @@ def test_gdp_flow(spark, inputs, tmp_path, rows):
     assert {name: rows(df) for name, df in pipeline.gold_tables(spark, out, "gdp").items()} == first
 
 
+def parts_of(folder):
+    """For each sub-folder of the partitioned table its data files."""
+    return {p.name: {f.name for f in p.glob("*.parquet")} for p in folder.iterdir() if p.is_dir()}
+
+
+def test_only_states_with_changed_files_are_loaded(spark, inputs, tmp_path, rows, monkeypatch):
+    import shutil
+
+    files, dimension, out = tmp_path / "gdp", tmp_path / "dim.csv", str(tmp_path / "out")
+    shutil.copytree(inputs / "gdp", files)
+    shutil.copy(inputs / "dim.csv", dimension)
+    opened, scan = [], pipeline.scan_entity_csv
+    monkeypatch.setattr(pipeline, "scan_entity_csv", lambda s, paths: opened.append(len(paths)) or scan(s, paths))
+
+    def run():
+        before = parts_of(bronze) if bronze.exists() else {}
+        loaded = pipeline.load_gdp_changes(spark, f"{files}/gdpall*.csv", str(dimension), out)
+        after = parts_of(bronze)
+        assert rows(spark.read.schema(schemas.BRONZE_GDP).parquet(str(bronze))) == whole()
+        return loaded.rows, {k.removeprefix("state_code=") for k in {**before, **after} if before.get(k) != after.get(k)}
+
+    def whole():
+        pipeline.load_gdp(spark, f"{files}/gdpall*.csv", str(dimension), f"{tmp_path}/all")
+        return rows(spark.read.schema(schemas.BRONZE_GDP).parquet(f"{tmp_path}/all/bronze/gdp_data"))
+
+    bronze = tmp_path / "out/bronze/gdp_data"
+    none = "__HIVE_DEFAULT_PARTITION__"
+    first, states = run()
+    assert first > 100 and states == {"01", "02", "04", none}
+    opened.clear()
+    assert run() == (0, set()) and not [n for n in opened if n < 13]
+    (files / "gdpall02003.csv").write_text("observation_date,VALUE\n2001-01-01,7\n")
+    opened.clear()
+    assert run()[1] == {"02"} and min(opened) == 4  # the counties of the state
+    (files / "gdpall01009.csv").write_text("observation_date,VALUE\n2001-01-01,8\n")  # a county without a place
+    assert run()[1] == {none}
+    dimension.write_text(dimension.read_text() + "\n01009,01,State 01,County 01009,009\n")  # now it has one
+    assert run()[1] == {none, "01"}
+    for code in ("04001", "04003", "04005"):
+        (files / f"gdpall{code}.csv").unlink()
+    assert run() == (0, {"04"}) and "state_code=04" not in parts_of(bronze)
+
+
 def test_population_flow(spark, inputs, tmp_path):
     out = str(tmp_path)
     county, state = pipeline.load_population(spark, f"{inputs}/people.csv", out)
@@ -120,18 +164,89 @@ def test_a_repeated_dimension_key_stops_the_flow(spark, inputs, tmp_path):
         pipeline.load_gdp(spark, f"{inputs}/gdp/gdpall*.csv", f"{tmp_path}/dim.csv", str(tmp_path))
 
 
-def test_observations_are_published(spark, tmp_path):
+def observed(spark, city, aqi, n=1):
+    row = ("2024-01-01", 1, None, None, None, None, None, "NO2", aqi, (1, "Good"), city)
+    return spark.createDataFrame([row] * n, schemas.AQI_OBSERVATION)
+
+
+@pytest.fixture()
+def air(spark, tmp_path):
+    """A database of its own, the stream's folders, and a store that takes (city, value, rows) as the next batch."""
     from panelspark.streaming import observations as stream
 
-    rows = spark.createDataFrame([("2024-01-01", 1, None, None, None, None, None, "NO2", 7, (1, "Good"), "Boston")], schemas.AQI_OBSERVATION)
-    root = f"{tmp_path}/air_quality"
-    for batch in range(2):
-        stream.store_batch(rows, batch, f"{root}/history", f"{root}/current")
-    spark.sql("create database if not exists published")
-    declare_warehouse(spark, "published")
-    for _ in range(2):
-        assert [load.rows for load in pipeline.publish_observations(spark, str(tmp_path), "published")] == [2, 1]
-    assert spark.table("published.AIR_QUALITY_13_CITIES").count() == 2
+    database = f"published_{tmp_path.name.replace('-', '_')}"
+    spark.sql(f"create database {database}")
+    declare_warehouse(spark, database)
+    root, batches = f"{tmp_path}/air_quality", iter(range(99))
+
+    def store(*batch):
+        stream.store_batch(observed(spark, *batch), next(batches), f"{root}/history", f"{root}/current", "r1")
+
+    yield database, store
+    spark.sql(f"drop database {database} cascade")
+
+
+def published(spark, database):
+    return sorted((r.TARGETCITY, r.AQI) for r in spark.table(f"{database}.AIR_QUALITY_13_CITIES").collect())
+
+
+def test_only_new_batches_are_published(spark, tmp_path, air, monkeypatch):
+    database, store = air
+    opened, read = [], ledger.read_batches
+    monkeypatch.setattr(ledger, "read_batches", lambda *a: opened.append(df := read(*a)) or df)
+    store("Boston", 7)
+    store("Miami", 8, 2)
+    loads = pipeline.publish_observations(spark, str(tmp_path), database)
+    assert [load.rows for load in loads] == [3, 2]
+    store("Denver", 9)
+    loads = pipeline.publish_observations(spark, str(tmp_path), database)
+    assert [load.rows for load in loads] == [1, 1]
+    files = [{f.split("batch_id=")[1].split("/")[0] for f in df.inputFiles()} for df in opened]
+    assert files == [{"0", "1"}, {"2"}]
+    assert published(spark, database) == [("Boston", 7), ("Denver", 9), ("Miami", 8), ("Miami", 8)]
+    assert [r.CITY for r in spark.table(f"{database}.AQI_REALTIME").collect()] == ["Denver"]
+
+    again = pipeline.publish_observations(spark, str(tmp_path), database)
+    assert [(load.loaded, load.reason) for load in again] == [(False, "nothing new")] * 2 and len(opened) == 2
+    assert len(published(spark, database)) == 4
+    kept = spark.table(f"{database}.AIR_QUALITY_13_CITIES_LOADS").filter("state = 'done'").orderBy("load_id").collect()
+    assert [(r.load_id, r.row_count) for r in kept] == [(1, 3), (2, 1)]
+
+
+@pytest.mark.parametrize("where", ["_write_partition", "_close"])
+def test_a_failed_publish_neither_loses_nor_doubles(spark, tmp_path, air, monkeypatch, where):
+    database, store = air
+    store("Boston", 7)
+    pipeline.publish_observations(spark, str(tmp_path), database)
+    store("Miami", 8)
+    monkeypatch.setattr(ledger, where, lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        pipeline.publish_observations(spark, str(tmp_path), database)
+    monkeypatch.undo()
+    store("Denver", 9)  # stored meanwhile
+    pipeline.publish_observations(spark, str(tmp_path), database)
+    assert published(spark, database) == [("Boston", 7), ("Denver", 9), ("Miami", 8)]
+    pipeline.publish_observations(spark, str(tmp_path), database)
+    assert len(published(spark, database)) == 3
+
+
+def test_a_batch_that_is_being_written_is_left_for_the_next_publish(spark, tmp_path, air):
+    database, store = air
+    store("Boston", 7)
+    half = tmp_path / "air_quality/history/run=r1/batch_id=1"
+    observed(spark, "Miami", 8).write.parquet(str(half))
+    (half / "_SUCCESS").unlink()
+    assert ledger.finished_batches(spark, f"{tmp_path}/air_quality/history") == [("r1", 0)]
+    pipeline.publish_observations(spark, str(tmp_path), database)
+    assert published(spark, database) == [("Boston", 7)]
+
+
+def test_nothing_stored_and_tables_of_another_kind(spark, tmp_path, air):
+    database, _ = air
+    assert {load.reason for load in pipeline.publish_observations(spark, str(tmp_path), database)} == {"nothing new"}
+    spark.sql(f"create table {database}.plain (TARGETCITY string) using parquet")
+    with pytest.raises(QualityError, match="not kept by loads"):
+        ledger.declare_loads(spark, f"{database}.plain", "TARGETCITY string")
 
 
 def test_epa_flow(spark, tmp_path):

@@ -99,6 +99,35 @@ def test_reload_refuses_lost_values_and_missing_columns(spark, people):
     assert spark.table("strict_demo").count() == 0
 
 
+def test_reload_reads_its_input_once_and_moves_after_the_audit(spark, people, tmp_path):
+    name = "audited_demo"
+    T.declare_table(spark, name, "FIPS_CODE string, YEAR int, TOTAL_POPULATION bigint")
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    def rows_of(df):
+        return df.mapInArrow(count, df.schema)
+
+    assert T.reload_table(rows_of(people), name, ["FIPS_CODE", "YEAR"]) == 3 and read.value == 3
+    first = T._location(spark, name)
+    with pytest.raises(Q.QualityError, match="repeats a key"):
+        T.reload_table(people.union(people), name, ["FIPS_CODE", "YEAR"])
+    assert T._location(spark, name) == first and spark.table(name).count() == 3
+    spoiled = spark.createDataFrame([("1", "x", 5)], "FIPS_CODE string, YEAR string, TOTAL_POPULATION int")
+    with pytest.raises(Q.QualityError, match="cannot hold"):
+        T.reload_table(spoiled, name)
+    folders = lambda: {f for f in os.listdir(os.path.dirname(first.removeprefix("file:"))) if f.startswith(name)}
+    assert len(folders()) == 2 and spark.table(name).count() == 3  # the folder now and the one before
+    old = spark.table(name)
+    assert T.reload_table(people.limit(1), name) == 1 and spark.table(name).count() == 1
+    assert old.count() == 3  # a reader at work keeps the rows it began with
+    assert T.reload_table(people, name) == 3 and len(folders()) == 2 and spark.table(name).count() == 3
+
+
 def test_an_absent_key_column_fails_its_check(people):
     report = Q.table_report(people, "t", Q.Expectation(1, ("year", "gone")))
     assert {(r.check_name, r.passed) for r in report.collect()} == {("min_rows", True), ("no_nulls_year", True), ("no_nulls_gone", False)}
@@ -151,3 +180,16 @@ def test_profiles(people):
     assert tuple(Q.profile(people, "FIPS_CODE", "YEAR").first()) == (3, 3, 2)
     assert tuple(Q.null_profile(people, ["FIPS_CODE", "YEAR"]).first()) == (0, 0)
     assert [tuple(r) for r in Q.duplicate_keys(people, ["YEAR"]).collect()] == [(2001, 2)]
+
+
+def test_counts_from_bitmaps(spark, rows):
+    data = [("001", 2001, "a"), ("001", 2001, "a"), ("002", 2002, "a"), ("002", 2001, "b"), ("40000", None, "b"), (None, 2001, "b"), ("99999999999", 2001, None)]
+    df = spark.createDataFrame(data, "code string, year int, state string")
+    assert Q.profile_codes(df, "code", "year").collect() == Q.profile(df, "code", "year").collect()
+    assert Q.profile_codes(df.limit(0), "code", "year").first()[:] == (0, 0, 0)
+    plan = Q.profile_codes(df, "code", "year")._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    fine = Q.distinct_bitmaps(df, ["state", "year"], "code")
+    assert rows(Q.distinct_counts(fine, ["state"], "n")) != rows(df.groupBy("state").agg(F.countDistinct("code")))
+    merged = Q.merged_bitmaps(fine, ["state"])
+    assert rows(Q.distinct_counts(merged, ["state"], "n")) == rows(df.filter("code is not null").groupBy("state").agg(F.countDistinct("code")))

@@ -121,6 +121,62 @@ def test_latest_as_a_stream(spark, tmp_path):
     assert {(r.CITY, r.VALUE) for r in spark.table("latest_now").collect()} == {("Boston", 60), ("Miami", 5)}
 
 
+def test_malformed_files_are_set_down(spark, tmp_path):
+    landed = tmp_path / "landed"
+    for n in range(5):
+        land(landed, f"{n}.json", [record("Boston", n, n)])
+    (landed / "bad 1.json").write_text('[{"AQI": 3}, ')
+    (landed / "bad2.json").write_text("no json")
+    paths = [str(tmp_path / name) for name in ("history", "snapshot", "checkpoint")]
+    stream = O.landed_observations(spark, str(landed), files_per_batch=2, keep_malformed=True)
+    query = O.start_store(stream, *paths, rejected_path=str(tmp_path / "rejected"))
+    assert query.awaitTermination(120)
+    assert len(query.recentProgress) == 4  # seven files, two at a time
+    assert sorted(r.AQI for r in O.read_history(spark, paths[0]).collect()) == [0, 1, 2, 3, 4]
+    rejected = O.read_rejected(spark, str(tmp_path / "rejected"))
+    assert sorted((r.file.rsplit("/", 1)[1], r.length) for r in rejected.collect()) == [("bad%201.json", 13), ("bad2.json", 7)]
+    assert rejected.filter("run is null or batch_id is null").isEmpty()
+    assert O.read_rejected(spark, str(tmp_path / "nowhere")).isEmpty()
+
+
+def test_files_that_are_done_with_move_to_the_archive(spark, tmp_path):
+    def names(folder):
+        return sorted(p.name for p in (tmp_path / folder).rglob("*.json"))
+
+    for n in range(3):
+        land(tmp_path / "landed", f"{n}.json", [record("Boston", n, n)])
+        stream = O.landed_observations(spark, str(tmp_path / "landed"), files_per_batch=1, archive=str(tmp_path / "done"))
+        query = O.start_store(stream, *(str(tmp_path / name) for name in ("history", "snapshot", "checkpoint")))
+        assert query.awaitTermination(120)
+        deadline = time.monotonic() + 20
+        while len(names("done")) < n and time.monotonic() < deadline:
+            time.sleep(0.2)
+    assert names("done") + names("landed") == ["0.json", "1.json", "2.json"] and "0.json" in names("done")
+    assert O.read_history(spark, str(tmp_path / "history")).count() == 3
+
+
+def test_latest_values_are_kept_by_state(spark, tmp_path):
+    """Equals the batch operator; a city that is missing from a batch stays, an older row changes nothing."""
+    from panelspark.plans.airquality import history_rows, latest_per_key
+
+    batches = [
+        [record("Boston", 1, 40), record("Miami", 2, 5)],
+        [record("Boston", 3, 60), record("Boston", 3, 55), record("Denver", 1, 9)],
+        [record("Boston", 2, 99), record(None, 1, 7), record("Miami", 2, 6)],
+    ]
+    for n, batch in enumerate(batches):
+        land(tmp_path / "landed", f"{n}.json", batch)
+        rows = history_rows(O.landed_observations(spark, str(tmp_path / "landed")))
+        query = O.start_latest(rows, str(tmp_path / "latest"), str(tmp_path / "checkpoint"))
+        assert query.awaitTermination(120)
+        assert query.lastProgress["stateOperators"][0]["numRowsUpdated"] == len({r["TargetCity"] for r in batch})
+    latest = {(r.CITY, r.VALUE) for r in O.read_snapshot(spark, str(tmp_path / "latest")).collect()}
+    assert latest == {("Boston", 60), ("Miami", 6), ("Denver", 9), (None, 7)}
+    everything = history_rows(spark.read.schema(schemas.AQI_OBSERVATION).json(str(tmp_path / "landed"), multiLine=True))
+    batch = latest_per_key(everything, ["DATEOBSERVED", "HOUROBSERVED"])
+    assert {(r.TARGETCITY, r.AQI) for r in batch.collect()} == latest
+
+
 def test_interval_trigger(spark, tmp_path):
     land(tmp_path / "landed", "a.json", [record("Boston", 1, 40)])
     query = O.start_store(

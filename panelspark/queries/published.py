@@ -90,7 +90,8 @@ def exported_tables(spark, sf):
     """The GDP tables built by the flow and exported to their declared tables, with the verdicts of the gate over those; a
     table that was not built is told."""
     out = scratch_path(spark, "flow")
-    sinks.write_partitioned(_bronze(spark, sf), f"{out}/bronze/gdp_data", "state_code")
+    rows = _bronze(spark, sf).withColumn("gdp_value", F.col("gdp_value").cast("int"))
+    sinks.write_partitioned(rows, f"{out}/bronze/gdp_data", "state_code")
     pipeline.build_gdp(spark, out)
 
     def work(database):

@@ -37,8 +37,10 @@ from pyspark.sql import functions as F
 from panelspark.llm.bpe import parts
 from panelspark.llm.tables import stored
 
-#: Bytes of text in a block; a longer document is one by itself.
+#: Bytes of text in a block, whose words are counted together, and in one of its pieces, which are handled one by one; a
+#: longer document is a piece by itself.
 BLOCK_BYTES = 8 << 20
+PIECE_BYTES = 2 << 20
 #: The end of a document as a word; no word holds a blank.
 END = b"\n"
 
@@ -108,29 +110,38 @@ def tokens_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
 
 
 def blocks(docs: DataFrame, settings: Settings) -> DataFrame:
-    """Blocks of documents, each as one sealed batch: their keys, which of them train, their sizes, the numbers of their
-    tokens' words, frequent words first, the words, and how often each occurs in training. Spark sees no long arrays: it
-    would measure them anew with every row that it hands to Python."""
+    """Blocks of documents in pieces, each one sealed batch: their keys, which of them train, their sizes, and the numbers of
+    their tokens' words, frequent words first; the first piece has the words of the block and how often each occurs
+    in training. Spark sees no long arrays: it would measure them anew with every row that it hands to Python."""
     names = ["part", "keys", "train", "sizes", "numbers", "words", "counts"]
+    kinds = [pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64())]
 
     def run(batches):
         at = TaskContext.get().partitionId() << 32
         for batch in (part for whole in batches for part in parts(whole, "text", BLOCK_BYTES)):
-            numbers, words, sizes = tokens_of(pc.fill_null(batch.column("text"), ""))
+            texts = pc.fill_null(batch.column("text"), "")
+            numbers, words, sizes = tokens_of(texts)
             order = np.argsort(-np.bincount(numbers, minlength=len(words)), kind="stable")
             place = np.empty(len(order), np.uint32)
             place[order] = np.arange(len(order))
             numbers = place[numbers]
             train = ~batch.column("held").to_numpy(zero_copy_only=False)
             counts = np.bincount(numbers[np.repeat(train, sizes)], minlength=len(words))
-            round_of = crc32(at.to_bytes(8, "big")) % settings.rounds
-            lists = [pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a) for a in (batch.column("key"), words.take(pa.array(order)), pa.array(counts))]
-            blobs = [pa.array([b], pa.binary()) for b in (train.tobytes(), sizes.astype(np.int32).tobytes(), packed(numbers))]
-            whole = pa.RecordBatch.from_arrays([pa.array([round_of]), lists[0], *blobs, *lists[1:]], names)
-            yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([sealed(whole)], pa.binary())], ["block", "whole"])
+            lexicon = [words.take(pa.array(order)), counts]
+            ends, length = np.cumsum(sizes), np.cumsum(pc.binary_length(texts).to_numpy())
+            cuts = [0, *(np.flatnonzero(np.diff(length // PIECE_BYTES)) + 1).tolist(), len(sizes)]
+            for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                own = numbers[ends[a] - sizes[a] : ends[b - 1]]
+                blobs = [[train[a:b].tobytes()], [sizes[a:b].astype(np.int32).tobytes()], [packed(own)]]
+                keys = pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), batch.column("key").slice(a, b - a))
+                lists = [[c] if not piece else [None] for c in lexicon]
+                columns = [pa.array([crc32(at.to_bytes(8, "big")) % settings.rounds]), keys, *(pa.array(c, k) for c, k in zip([*blobs, *lists], kinds))]
+                whole = sealed(pa.RecordBatch.from_arrays(columns, names))
+                yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([piece]), pa.array([whole], pa.binary())], ["block", "piece", "whole"])
             at += 1
+            pa.default_memory_pool().release_unused()
 
-    return docs.mapInArrow(run, "block long, whole binary")
+    return docs.mapInArrow(run, "block long, piece long, whole binary")
 
 
 def lexicon(made: DataFrame) -> DataFrame:
@@ -145,6 +156,7 @@ def lexicon(made: DataFrame) -> DataFrame:
                 columns = [words, pa.array(np.full(len(words), block)), pa.array(np.arange(len(words))), counts]
                 yield pa.RecordBatch.from_arrays(columns, ["word", "block", "place", "n"])
 
+    made = made.filter("piece = 0").select("block", "whole")
     rows = made.mapInArrow(run, "word binary, block long, place long, n long")
     same = Window.partitionBy("word")
     return rows.select("word", "block", "place", F.sum("n").over(same).alias("n"), (F.min("block").over(same) == F.col("block")).alias("first"))
@@ -211,37 +223,41 @@ def leaves(vocabulary: DataFrame, total: float, settings: Settings) -> Leaves:
 
 def ready(made: DataFrame, words: DataFrame, found: Leaves, n: int, v: int, key_type: str) -> DataFrame:
     """Blocks with what the model needs: for each token a hash of its word and its leaf; for each document the tokens known,
-    the base score, and the part of the score inside leaves. A block meets its words sorted, so a task holds one block."""
+    the base score, and the part of the score inside leaves. A block meets its words sorted, so a task holds the words of one block and a piece of it."""
     names = ["part", "keys", "train", "sizes", "known", "base", "inside", "hashes", "leaves"]
     floor = np.log10(n + 0.5 * (v + 1))
 
-    def block(own: pa.RecordBatch, counts: np.ndarray) -> pa.RecordBatch:
-        members = own.column("words").values.to_pylist()
-        of_word = np.array([found.of(w) for w in members], np.uint16)
+    def of_words(members: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, ...]:
+        leaf = np.array([found.of(w) for w in members], np.uint16)
         hashes = np.array([crc32(w) & 0xFFFF for w in members], np.uint16)
         mass = np.log10(counts + 0.5)
+        return leaf, hashes, counts > 0, mass - floor, mass - np.log10(found.mass[leaf])
+
+    def piece(own: pa.RecordBatch, leaf, hashes, known, base, inside) -> pa.RecordBatch:
         sizes = np.frombuffer(own.column("sizes")[0].as_py(), np.int32)
         starts = np.cumsum(sizes) - sizes
         at = unpacked(own.column("numbers")[0].as_py(), np.uint32, int(sizes.sum()))
-        known = np.add.reduceat((counts > 0).astype(np.int64)[at], starts)
-        base = np.add.reduceat((mass - floor)[at], starts)
-        inside = np.add.reduceat((mass - np.log10(found.mass[of_word]))[at], starts)
-        blobs = [known.tobytes(), base.tobytes(), inside.tobytes(), packed(hashes[at]), packed(of_word[at])]
+        sums = [np.add.reduceat(c[at], starts).tobytes() for c in (known.astype(np.int64), base, inside)]
+        blobs = [*sums, packed(hashes[at]), packed(leaf[at])]
         given = [own.column(c) for c in names[:4]]
         return pa.RecordBatch.from_arrays([*given, *(pa.array([b], pa.binary()) for b in blobs)], names)
 
     def run(batches):
         held: list[np.ndarray] = []
+        lexicon: tuple = ()
         for batch in batches:
             counts, start = batch.column("n").to_numpy(zero_copy_only=False), 0
             for i in np.flatnonzero(batch.column("whole").is_valid().to_numpy(zero_copy_only=False)).tolist():
                 held.append(counts[start:i])
-                yield block(opened(batch.column("whole")[i].as_py()), np.concatenate(held).astype(np.int64))
-                held, start = [], i + 1
+                start, own = i + 1, opened(batch.column("whole")[i].as_py())
+                if own.column("words").null_count == 0:
+                    lexicon = of_words(own.column("words").values.to_pylist(), np.concatenate(held).astype(np.int64))
+                held = []
+                yield piece(own, *lexicon)
             held.append(counts[start:].copy())
 
     entries = words.select("block", "place", "n", F.lit(None).cast("binary").alias("whole"))
-    wholes = made.select("block", F.lit((1 << 63) - 1).alias("place"), F.lit(None).cast("long").alias("n"), "whole")
+    wholes = made.select("block", (F.col("piece") + (1 << 62)).alias("place"), F.lit(None).cast("long").alias("n"), "whole")
     placed = entries.union(wholes).repartition("block").sortWithinPartitions("block", "place").select("n", "whole")
     return placed.mapInArrow(run, f"part long, keys array<{key_type}>, " + ", ".join(f"{n} binary" for n in names[2:]))
 
@@ -458,7 +474,7 @@ def scored(df: DataFrame, key: str = "doc_id", text: str = "text", settings: Set
     docs = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"), held_out(F.col(key)).alias("held"))
     made = stored(blocks(docs, settings), "blocks")
     words = stored(lexicon(made), "lexicon")
-    known = words.filter(F.col("first") & (F.col("n") > 0))
+    known = stored(words.filter(F.col("first") & (F.col("n") > 0)).select("word", "n"), "vocabulary")
     v, n = known.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     found = leaves(known.select("word", (F.col("n") + 0.5).alias("mass")), n + 0.5 * v, settings)
     kind = docs.schema["key"].dataType.simpleString()

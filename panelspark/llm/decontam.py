@@ -3,8 +3,9 @@
 1. Canonicalisation: words lower-cased, numbers, names and units of measure replaced by typed placeholders. A name is a
    word with a capital first letter; at the start of a sentence it may be a name or not, and both readings are tried. A
    unit counts as one after a number.
-2. Windows of five template tokens (shorter texts: the whole sequence) with at least two literal words are hash-joined
-   with those of the benchmark items. A window with capitalised sentence starts is joined in every reading that leaves
+2. Windows of five template tokens with at least two literal words are hash-joined with those of the benchmark items; an
+   item of fewer tokens is one window, which is looked for among the windows of that width. Windows with a token that
+   no item has are never made. A window with capitalised sentence starts is joined in every reading that leaves
    two literal words; an item's window is counted once, as the one in which they are all literal, whichever meets.
 3. Slot consistency: the values that stood in matched slots must map one to one from item to document, each to the
    value it meets most often (ties: the smallest); windows against that mapping do not count. The mapping is made for
@@ -23,7 +24,7 @@ rows with the same key count as one document; only the named columns are read.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from panelspark.llm.tables import stored
 WINDOW = 5
 LEAST_SHARE = 0.8
 LEAST_LITERALS = 2
-#: Distinct windows of the items up to which their hashes go to every task; beyond it both sides are shuffled.
+#: Distinct windows and tokens of the items up to which their hashes go to every task; beyond it both sides are shuffled.
 MOST_SENT = 1 << 20
 #: Words that a worker remembers before it starts anew.
 KNOWN_WORDS = 1 << 19
@@ -57,41 +58,39 @@ NUMBER_SLOT, NAME_SLOT, UNIT_SLOT = (np.uint64(xxhash.xxh64_intdigest(s)) for s
 
 
 class Words(dict):
-    """Numbers words in the order they are met; kinds and hashes of the word with a number."""
+    """Numbers words in the order they are met; kinds and hashes of the word with a number, and whether it may stand in a
+    window of the items, whose tokens are the vocabulary: without one any word may."""
 
-    def __init__(self):
-        self.kinds, self.hashes = np.empty(1 << 12, np.int8), np.empty(1 << 12, np.uint64)
+    def __init__(self, vocabulary: frozenset[int] | None = None):
+        self.vocabulary = vocabulary
+        self.kinds, self.hashes, self.may = np.empty(1 << 12, np.int8), np.empty(1 << 12, np.uint64), np.empty(1 << 12, bool)
 
     def __missing__(self, word: str) -> int:
         k = len(self)
         if k == len(self.kinds):
-            self.kinds, self.hashes = np.resize(self.kinds, 2 * k), np.resize(self.hashes, 2 * k)
+            self.kinds, self.hashes, self.may = (np.resize(a, 2 * k) for a in (self.kinds, self.hashes, self.may))
         low = word.lower()
+        own = xxhash.xxh64_intdigest(low)
         if word in ".!?\n":
-            kind = END
+            kind, readings = END, ()
         elif word[0].isdigit() or low in NUMBER_WORDS:
-            kind = NUMBER
+            kind, readings = NUMBER, (int(NUMBER_SLOT),)
         elif len(word) > 1 and word[0].isupper() and word[1:].islower():
-            kind = CAPITAL
+            kind, readings = CAPITAL, (own, int(NAME_SLOT))
+        elif low in UNITS:
+            kind, readings = UNIT, (own, int(UNIT_SLOT))
         else:
-            kind = UNIT if low in UNITS else LITERAL
-        self.kinds[k], self.hashes[k] = kind, xxhash.xxh64_intdigest(low)
+            kind, readings = LITERAL, (own,)
+        self.kinds[k], self.hashes[k] = kind, own
+        self.may[k] = self.vocabulary is None or not self.vocabulary.isdisjoint(readings)
         self[word] = k
         return k
 
 
-@lru_cache(maxsize=1)
-def _words() -> list[Words]:
-    return [Words()]
-
-
-def template(text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """The words without sentence ends, the hash of what stands for each, which are slots, and which are capitalised
-    sentence starts, literal here but perhaps names."""
-    held = _words()
-    if len(held[0]) > KNOWN_WORDS:
-        held[0] = Words()
-    known, tokens = held[0], TOKEN.findall(text)
+def template(text: str, known: Words) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words without sentence ends, the hash of what stands for each, which are slots, which are capitalised
+    sentence starts, literal here but perhaps names, and which may stand in a window of the items."""
+    tokens = TOKEN.findall(text)
     k = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
     kinds, hashes = known.kinds[k], known.hashes[k]
     before = np.concatenate([[END], kinds[:-1]]) if len(kinds) else kinds
@@ -101,17 +100,20 @@ def template(text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     hashes = np.where(number, NUMBER_SLOT, np.where(unit, UNIT_SLOT, np.where(name, NAME_SLOT, hashes)))
     word = kinds != END
     valued = slot.any() or start.any()
-    return [t for t, w in zip(tokens, word) if w] if valued else tokens, hashes[word], slot[word], start[word]
+    return [t for t, w in zip(tokens, word) if w] if valued else tokens, hashes[word], slot[word], start[word], known.may[k][word]
 
 
-def window_hashes(hashes: np.ndarray, slot: np.ndarray, start: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
-    """Hashes of the windows that hold enough literal words, where they start, the hash of each with its sentence starts
-    all literal, and which of its places are slots. A reading takes some of the sentence starts of a window as names."""
-    n = len(hashes)
-    if not n:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty((0, 0), bool)
-    width = min(width, n)
-    least = min(LEAST_LITERALS, width)
+def window_hashes(hashes: np.ndarray, slot: np.ndarray, start: np.ndarray, may: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """Hashes of the windows that hold enough literal words and only words that may stand in one, where they start, the hash
+    of each with its sentence starts all literal, and which of its places are slots. A reading takes some of the sentence
+    starts of a window as names."""
+    summed = lambda flags: np.concatenate([[0], np.cumsum(flags)])
+    allowed, literals, starts = summed(may), summed(~slot), summed(start)
+    at = np.flatnonzero(allowed[width:] - allowed[:-width] == width)
+    literal = literals[at + width] - literals[at]
+    at, literal = at[literal >= LEAST_LITERALS], literal[literal >= LEAST_LITERALS]
+    if not len(at):
+        return np.empty(0, np.uint64), at, np.empty(0, np.uint64), np.empty((0, width), bool)
 
     def mixed(columns):
         total = np.zeros(len(columns[0]), np.uint64)
@@ -120,70 +122,85 @@ def window_hashes(hashes: np.ndarray, slot: np.ndarray, start: np.ndarray, width
             total ^= total >> np.uint64(29)
         return total
 
-    m = n - width + 1
-    total, literal = mixed([hashes[i : m + i] for i in range(width)]), np.zeros(m, np.int64)
-    for i in range(width):
-        literal += ~slot[i : m + i]
-    at = np.flatnonzero(literal >= least)
-    spread = np.lib.stride_tricks.sliding_window_view
-    found, ats, wholes, slots = [total[at]], [at], [total[at]], [spread(slot, width)[at]]
-    starts = np.concatenate([[0], np.cumsum(start)])
+    places = at[:, None] + np.arange(width)
+    words, slots_of = hashes[places], slot[places]
+    total = mixed(list(words.T))
+    found, ats, wholes, slots = [total], [at], [total], [slots_of]
     many = starts[at + width] - starts[at]
-    for chosen in range(1, 1 << int(many.max(initial=0))):  # which of the window's sentence starts are names, bit by bit
-        own = at[(many >= chosen.bit_length()) & (literal[at] - chosen.bit_count() >= least)]
+    for chosen in range(1, 1 << int(many.max())):  # which of the window's sentence starts are names, bit by bit
+        own = np.flatnonzero((many >= chosen.bit_length()) & (literal - chosen.bit_count() >= LEAST_LITERALS))
         if not len(own):
             continue
-        rank = starts[own[:, None] + np.arange(width)] - starts[own][:, None]
-        name = spread(start, width)[own] & ((chosen >> rank) & 1 > 0)
-        words = np.where(name, NAME_SLOT, spread(hashes, width)[own])
-        found.append(mixed(list(words.T)))
-        ats.append(own)
+        rank = starts[places[own]] - starts[at[own]][:, None]
+        name = start[places[own]] & ((chosen >> rank) & 1 > 0)
+        found.append(mixed(list(np.where(name, NAME_SLOT, words[own]).T)))
+        ats.append(at[own])
         wholes.append(total[own])
-        slots.append(spread(slot, width)[own] | name)
+        slots.append(slots_of[own] | name)
     return tuple(map(np.concatenate, (found, ats, wholes, slots)))
 
 
-def windows(df: DataFrame, key: str, text: str, width: int, wanted=None) -> DataFrame:
-    """(key, h, whole, slots, row, at, length): every reading of every window, the window it is a reading of, and the
-    values of its slots as "place value"; only ``wanted`` hashes if given. Of those with slots, also a hash of their
-    text, their place in it, and its length in words."""
+def tokens_of(items: DataFrame, text: str) -> DataFrame:
+    """(token): the hashes that stand in the items' templates, in any reading."""
+
+    def run(batches):
+        known = Words()
+        for batch in batches:
+            for t in batch.column("text"):
+                _, hashes, _, start, _ = template(t.as_py() or "", known)
+                own = np.unique(np.append(hashes, NAME_SLOT) if start.any() else hashes)
+                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64))], ["token"])
+
+    return items.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "token long").distinct()
+
+
+def windows(df: DataFrame, key: str, text: str, widths: Sequence[int] | None, wanted=None) -> DataFrame:
+    """(key, h, whole, slots, row, at, length, width): every reading of every window, the window it is a reading of, and the
+    values of its slots as "place value". Of those with slots, also a hash of their text, their place in it, and its
+    length in words. Windows of the widths, or without any of the whole text up to WINDOW words. ``wanted``: the
+    hashes of the windows and of the tokens to look for; windows with another token are never made."""
 
     def run(batches):
-        want = wanted.value if wanted is not None else None
+        want, vocabulary = wanted.value if wanted is not None else (None, None)
+        known = Words(vocabulary)
         for batch in batches:
-            rows, found, wholes, values, places, lengths = [], [], [], [], [], []
+            rows, found, wholes, values, places, lengths, sizes = [], [], [], [], [], [], []
             for row, t in enumerate(batch.column("text")):
-                tokens, hashes, slot, start = template(t.as_py() or "")
-                own, at, whole, slots = window_hashes(hashes, slot, start, width)
-                if want is not None:
-                    hit = np.zeros(len(own), bool)
-                    if len(want):
-                        hit = want[np.minimum(np.searchsorted(want, own), len(want) - 1)] == own
-                    own, at, whole, slots = own[hit], at[hit], whole[hit], slots[hit]
-                if not len(own):
-                    continue
-                some = slots.any(axis=1)
-                rows.append(np.full(len(own), row))
-                found.append(own.view(np.int64))
-                wholes.append(whole.view(np.int64))
-                places.append(np.where(some, at, -1))
-                lengths.append(np.full(len(own), len(hashes)))
-                values += [
-                    [f"{i} {tokens[a + i]}" for i in np.flatnonzero(o).tolist()] if s else [] for a, o, s in zip(at.tolist(), slots, some)
-                ]
+                if len(known) > KNOWN_WORDS:
+                    known = Words(vocabulary)
+                tokens, hashes, slot, start, may = template(t.as_py() or "", known)
+                for width in (min(WINDOW, len(hashes)),) if widths is None else widths:
+                    if not 0 < width <= len(hashes):
+                        continue
+                    own, at, whole, slots = window_hashes(hashes, slot, start, may, width)
+                    if want is not None and len(own):
+                        hit = want[np.minimum(np.searchsorted(want, own), len(want) - 1)] == own if len(want) else np.zeros(len(own), bool)
+                        own, at, whole, slots = own[hit], at[hit], whole[hit], slots[hit]
+                    if not len(own):
+                        continue
+                    some = slots.any(axis=1)
+                    rows.append(np.full(len(own), row))
+                    found.append(own.view(np.int64))
+                    wholes.append(whole.view(np.int64))
+                    places.append(np.where(some, at, -1))
+                    lengths.append(np.full(len(own), len(hashes)))
+                    sizes.append(np.full(len(own), width))
+                    values += [
+                        [f"{i} {tokens[a + i]}" for i in np.flatnonzero(o).tolist()] if s else [] for a, o, s in zip(at.tolist(), slots, some)
+                    ]
                 if len(values) > 50_000:
-                    yield _rows(batch, rows, found, wholes, values, places, lengths)
-                    rows, found, wholes, values, places, lengths = [], [], [], [], [], []
+                    yield _rows(batch, rows, found, wholes, values, places, lengths, sizes)
+                    rows, found, wholes, values, places, lengths, sizes = [], [], [], [], [], [], []
             if rows:
-                yield _rows(batch, rows, found, wholes, values, places, lengths)
+                yield _rows(batch, rows, found, wholes, values, places, lengths, sizes)
 
     whole = F.col(text).cast("string")
     rows = df.select(F.col(key).alias("key"), whole.alias("text"), F.xxhash64(whole).alias("row"))
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, h long, whole long, slots array<string>, row long, at long, length long")
+    return rows.mapInArrow(run, f"key {kind}, h long, whole long, slots array<string>, row long, at long, length long, width long")
 
 
-def _rows(batch, rows, found, wholes, values, places, lengths):
+def _rows(batch, rows, found, wholes, values, places, lengths, sizes):
     take, at = pa.array(np.concatenate(rows)), np.concatenate(places)
     plain = at < 0
     return pa.RecordBatch.from_arrays(
@@ -195,8 +212,9 @@ def _rows(batch, rows, found, wholes, values, places, lengths):
             pa.array(batch.column("row").take(take).to_numpy(), mask=plain),
             pa.array(at, mask=plain),
             pa.array(np.concatenate(lengths), mask=plain),
+            pa.array(np.concatenate(sizes)),
         ],
-        ["key", "h", "whole", "slots", "row", "at", "length"],
+        ["key", "h", "whole", "slots", "row", "at", "length", "width"],
     )
 
 
@@ -207,18 +225,20 @@ def contaminated(
     text: str = "text",
     item: str = "item_id",
     item_text: str = "text",
-    width: int = WINDOW,
     least_share: float = LEAST_SHARE,
     most_sent: int = MOST_SENT,
 ) -> DataFrame:
     """Rows (key, item, n_windows, n_matched, share, reparameterised): each document and item that it contains."""
-    of_items = stored(windows(items, item, item_text, width).withColumnRenamed("key", "item").distinct(), "items")
+    of_items = stored(windows(items, item, item_text, None).withColumnRenamed("key", "item").distinct(), "items")
     sizes = of_items.groupBy("item").agg(F.countDistinct("whole").alias("n_windows"))
-    wanted = None
-    if of_items.select("h").distinct().limit(most_sent + 1).count() <= most_sent:
-        hashes = np.array([r.h for r in of_items.select("h").distinct().toLocalIterator()], np.int64).view(np.uint64)
-        wanted = df.sparkSession.sparkContext.broadcast(np.sort(hashes))
-    hits = windows(df, key, text, width, wanted).drop("length").distinct()
+    widths = sorted(r.width for r in of_items.select("width").distinct().collect())  # WINDOW at most
+    tokens, wanted = stored(tokens_of(items, item_text), "tokens"), None
+    sought = of_items.select("h").distinct()
+    if sought.limit(most_sent + 1).count() <= most_sent and tokens.limit(most_sent + 1).count() <= most_sent:
+        hashes = np.array([r.h for r in sought.toLocalIterator()], np.int64).view(np.uint64)
+        own = np.array([r.token for r in tokens.toLocalIterator()], np.int64).view(np.uint64)
+        wanted = df.sparkSession.sparkContext.broadcast((np.sort(hashes), frozenset(own.tolist())))
+    hits = windows(df, key, text, widths, wanted).drop("length", "width").distinct()
     hits = hits.select("key", "h", F.col("whole").alias("own_whole"), F.col("slots").alias("own"), F.col("row").alias("own_row"), F.col("at").alias("own_at"))
     literal = (F.col("h") == F.col("whole")) & (F.col("h") == F.col("own_whole"))
     off = (F.col("own_at") - F.col("at")).alias("off")
@@ -277,9 +297,9 @@ def contaminated(
 
 def without(df: DataFrame, items: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", **settings) -> DataFrame:
     """The rows of the table, all columns, whose text contains no item."""
-    uid = F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))
-    rows = df.select(uid.alias("uid"), F.col(text).cast("string").alias("text"))
+    uid = F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")).alias("uid")
+    rows = df.select(uid, F.col(text).cast("string").alias("text"))
     found = contaminated(rows, items, "uid", "text", item, item_text, **settings)
-    bad = stored(found.select(F.col("uid").alias("bad")).distinct(), "contaminated")
-    own = df.withColumn("__uid", uid)
-    return own.join(bad, F.col("__uid") == F.col("bad"), "left_anti").select(*df.columns)
+    bad = stored(found.select("uid").distinct(), "contaminated")
+    own = df.select(F.struct("*").alias("row"), uid)
+    return own.join(bad, "uid", "left_anti").select("row.*")

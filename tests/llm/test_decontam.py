@@ -31,20 +31,22 @@ def template(text):
     return out
 
 
-def grams(text, width=5):
+def grams(text, widths=None):
+    """Windows of the widths, or of an item: five words, or all there are."""
     words = template(text)
-    n = min(width, len(words))
-    for i in range(len(words) - n + 1 if words else 0):
-        some = words[i : i + n]
-        if sum(v is None for _, v in some) >= min(2, n):
-            yield tuple(w for w, _ in some), tuple(v for _, v in some if v is not None)
+    for n in widths or {min(5, len(words))}:
+        for i in range(len(words) - n + 1 if words else 0):
+            some = words[i : i + n]
+            if sum(v is None for _, v in some) >= 2:
+                yield tuple(w for w, _ in some), tuple(v for _, v in some if v is not None)
 
 
 def brute(docs, items, least=0.8):
     out = []
     index = collections.defaultdict(set)
+    widths = {len(g) for _, text in items for g, _ in grams(text)}
     for k, t in docs:
-        for g, v in grams(t):
+        for g, v in grams(t, widths or {5}):
             index[k].add((g, v))
     for item, text in items:
         own = set(grams(text))
@@ -92,6 +94,22 @@ def test_query_over_the_test_tables(spark):
     assert sorted(map(tuple, out.collect()), key=str) == want and want
 
 
+def test_short_items_are_found_inside_longer_texts(spark, docs):
+    items = spark.createDataFrame([(0, "zebra crossing paradox"), (1, "the end"), (2, "one"), (3, "3 km"), (4, "Meet Mary")], "item_id long, text string")
+    texts = ["This is the zebra crossing paradox of old.", "zebra crossing", "in the end.", "one", "it is 3 km on", "Zebra crossing paradox", "we meet Lucy", "a. Meet Lucy"]
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs(texts), items).collect()}
+    assert got == {(0, 0), (2, 1), (5, 0)}
+
+
+def test_columns_that_clash(spark, docs):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    df = docs([QUESTION, "all clean", None])
+    for name in ("bad", "uid", "__uid", "row", "h", "item"):
+        df = df.withColumn(name, df.text)
+    kept = decontam.without(df, items)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2]
+
+
 def test_empty_tables(spark, docs):
     items = spark.createDataFrame([], "item_id long, text string")
     assert decontam.contaminated(docs(TEXTS[:3]), items).count() == 0

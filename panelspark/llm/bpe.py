@@ -203,6 +203,7 @@ def encode(
                     data = pa.py_buffer(own.decode(ids))
                     out.append(pa.Array.from_buffers(pa.binary(), len(texts), [None, cuts, data]))
                 yield pa.RecordBatch.from_arrays(out, names)
+        own.forget()  # the worker may go on to tasks of another kind
 
     names = ["key", "ids"] + ["byte_starts", "char_starts"] * offsets + ["decoded"] * decoded
     rows = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))

@@ -29,8 +29,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.llm.bpe import parts
 from panelspark.llm.tables import stored
-from panelspark.session import scratch_path
+from panelspark.session import scratch_table
 
 #: Contexts of one key that a task may hold; more are split.
 GROUP = 4096
@@ -118,8 +119,7 @@ def texts_of(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     copies = marks.groupBy("uid").agg(F.min("key").alias("first"), F.count("*").alias("copies"))
     one = rows.join(copies.withColumnRenamed("uid", "u"), (F.col("uid") == F.col("u")) & F.col("key").eqNullSafe(F.col("first")))
     one = one.dropDuplicates(["uid"])  # rows that are equal in key and text
-    path = scratch_path(spark, "texts")
-    name = "texts_" + path.rsplit("-", 1)[1]
+    name, path = scratch_table(spark, "texts")
     buckets = min(100_000, int(spark.conf.get("spark.sql.shuffle.partitions")))  # Spark has no more
     writer = one.select("uid", "data", "copies").write.format("parquet").bucketBy(buckets, "uid").sortBy("uid")
     writer.option("path", path).saveAsTable(name)
@@ -205,7 +205,7 @@ def split_rows(rows: DataFrame, symbols: Symbols, block: int) -> DataFrame:
     """Each context cut into blocks of ``block`` offsets, with the core of the block as the key."""
 
     def cut(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts(whole, "context", BATCH_BYTES)):
             for r in batch.to_pylist():
                 units, p, a, b = symbols.of(r["context"]), r["p"], r["a"], r["b"]
                 for k in range((a - p) // block, (b - p) // block + 1):
@@ -268,7 +268,7 @@ def solve_all(contexts: DataFrame, symbols: Symbols, place, solver: Solver) -> D
 
     def run(batches):
         held, size = [], 0
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts(whole, "context", BATCH_BYTES)):
             done = []
             for r in batch.to_pylist():
                 if r["solved"]:
@@ -333,7 +333,7 @@ def removed(
 
     def run(batches):
         for batch in batches:
-            rows = []
+            rows, size = [], 0
             for uid, data, copies, own in zip(*(batch.column(c) for c in ("uid", "data", "copies", "ranges"))):
                 units = symbols.of(data.as_py())
                 spans = merged(own.as_py() or [], symbols.window)
@@ -343,9 +343,10 @@ def removed(
                 pieces = [units[s:e] for s, e in zip(cuts[::2], cuts[1::2])]
                 kept = b" ".join(w for p in pieces for w in p) if symbols.words else b"".join(pieces)
                 rows.append((uid.as_py(), kept, len(units), sum(e - s for s, e in spans), [{"start": s, "end": e} for s, e in spans]))
-                if sum(len(r[1]) for r in rows[-64:]) > BATCH_BYTES:
+                size += len(kept)
+                if size > BATCH_BYTES:
                     yield _texts(rows)
-                    rows = []
+                    rows, size = [], 0
             if rows:
                 yield _texts(rows)
 

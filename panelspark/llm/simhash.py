@@ -215,9 +215,9 @@ def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", width: i
     rows = df.select(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), uid.alias("uid")).alias("id"), whole.alias("text"))
     found = groups(rows, "id", "text", width, distance, parts).filter(F.col("id") == F.col("component_id"))
     first = found.select("id.key", "id.uid").distinct()
-    own = df.withColumn("__uid", uid)
-    kept = own.join(first, (F.col("__uid") == F.col("uid")) & own[key].eqNullSafe(first["key"]), "left_semi")
-    return kept.dropDuplicates(["__uid", key]).select(*df.columns)
+    own = df.select(F.struct("*").alias("row"), uid.alias("uid"), F.col(key).alias("key"))
+    kept = own.join(first, (own["uid"] == first["uid"]) & own["key"].eqNullSafe(first["key"]), "left_semi")
+    return kept.dropDuplicates(["uid", "key"]).select("row.*")
 
 
 def hexadecimal(fingerprint) -> F.Column:

@@ -13,6 +13,8 @@ whatever holds a whole window is removed in all of them; texts shorter than the
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -112,17 +114,23 @@ def solve(contexts: list[bytes], anchors: np.ndarray, counts: np.ndarray, window
     return [np.append(flags[e - n : e], np.zeros(c - n, bool)).astype(np.int8) for e, n, c in zip(ends, few, counts)]
 
 
-def place(contexts: DataFrame) -> DataFrame:
-    """Ranges of the leading bytes of the suffixes, at splitters that Spark samples; whole keys, in order."""
-    lead = F.expr("substring(context, cast(p - a + 1 as int), 16)")
-    rows = contexts.withColumn("lead", F.coalesce(lead, F.substring("key", 1, 16)))
-    return rows.repartitionByRange("lead", "key").sortWithinPartitions("lead", "key").drop("lead")
+def placed_by(symbols: Symbols) -> Callable[[DataFrame], DataFrame]:
+    """Ranges of the leading bytes of the suffixes, at splitters that Spark samples; whole keys, in order. Equal keys agree
+    in a gram, so no more than a gram leads."""
+
+    def place(contexts: DataFrame) -> DataFrame:
+        lead = F.expr(f"substring(context, cast(p - a + 1 as int), {min(16, symbols.gram)})")
+        rows = contexts.withColumn("lead", F.coalesce(lead, F.substring("key", 1, 16)))
+        return rows.repartitionByRange("lead", "key").sortWithinPartitions("lead", "key").drop("lead")
+
+    return place
 
 
 def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
     """(key, uid, n_bytes, sha256) for every row; and (uid, kept, n_symbols, n_removed, spans) for each different text
     from which something is removed."""
-    return removed(df, byte_symbols(window), place, lambda c, p, n: solve(c, p, n, window), key, text, group)
+    symbols = byte_symbols(window)
+    return removed(df, symbols, placed_by(symbols), lambda c, p, n: solve(c, p, n, window), key, text, group)
 
 
 def report(df: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFrame:
@@ -141,14 +149,22 @@ def report(df: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFrame
 def cleaned(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """The table with the repeated bytes taken out of its texts; characters that are cut apart go whole."""
     _, texts = without_repeats(df, key, text, window)
-    whole = F.col(text).cast("string")
-    rows = df.withColumn("__uid", F.unhex(F.md5(F.coalesce(whole, F.lit("")).cast("binary"))))
+    uid = F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))).alias("uid")
+    rows = df.select(F.struct("*").alias("row"), uid)
 
-    def whole_characters(batches):  # U+FFFD that stands in a text is a whole character and stays
+    def whole_characters(batches):  # each stretch by itself: ends of two cut characters make none
         for batch in batches:
-            kept = [None if k is None else k.decode("utf-8", "ignore") for k in batch.column("kept").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("uid"), pa.array(kept, pa.string())], ["__uid", "__kept"])
-
-    changed = texts.filter("n_removed > 0").select("uid", "kept").mapInArrow(whole_characters, "__uid binary, __kept string")
-    out = rows.join(changed, "__uid", "left")
-    return out.withColumn(text, F.coalesce("__kept", text)).select(*df.columns)
+            kept = []
+            for data, n, spans in zip(*(batch.column(c).to_pylist() for c in ("kept", "n_symbols", "spans"))):
+                cuts, at, stretches = [0, *(x for s in spans for x in (s["start"], s["end"])), n], 0, []
+                for start, end in zip(cuts[::2], cuts[1::2]):
+                    stretches.append(data[at : at + end - start].decode("utf-8", "ignore"))
+                    at += end - start
+                kept.append("".join(stretches))
+            yield pa.RecordBatch.from_arrays([batch.column("uid"), pa.array(kept, pa.string())], ["changed", "kept"])
+
+    changed = texts.filter("n_removed > 0").select("uid", "kept", "n_symbols", "spans")
+    changed = changed.mapInArrow(whole_characters, "changed binary, kept string")
+    out = rows.join(changed, rows["uid"] == changed["changed"], "left")
+    whole = F.coalesce("kept", F.col("row").getField(text))
+    return out.select(F.col("row").withField(text, whole).alias("row")).select("row.*")

@@ -1,7 +1,11 @@
 """Documents made ready for training: five stages, each over all that the one before kept.
 
 run(spark, sf_dir) applies them to the table of documents. ORACLE_SQL is None: rules learnt from labels, fingerprints and
-tokens are beyond SQL; tests/llm/test_pipeline.py holds the stages against brute force.
+tokens are beyond SQL; tests/llm/test_corpus_pipeline.py holds the stages against brute force.
+
+Defined results, for every stage: a null text counts as an empty one and stays null where the row stays; repeated rows are
+near duplicates of each other, so one of them stays; an empty table gives an empty one; rows with a null id are kept like
+others; columns beyond those of documents pass through all stages but the last, whatever their names.
 """
 
 from __future__ import annotations
@@ -13,6 +17,11 @@ from panelspark.llm import bpe, decontam, quality, simhash, suffixarray
 from panelspark.llm.tables import stored, table
 
 
+#: Bytes of a repeated passage, from which on it is taken out: fifty words of four letters, each with its blank, and a last
+#: one of few letters less a margin. The operator's own query takes 400, by its contract.
+REPEAT_BYTES = 240
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose predicted quality is 1."""
     return quality.accepted(docs, table(spark, sf_dir, "labels"))
@@ -24,8 +33,8 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the strings of 400 bytes that start in more than one place."""
-    cleaned = suffixarray.cleaned(docs, window=400)
+    """Every document, without the strings of REPEAT_BYTES bytes that start in more than one place."""
+    cleaned = suffixarray.cleaned(docs, window=REPEAT_BYTES)
     return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

@@ -15,8 +15,8 @@ from panelspark.queries.registry import query
 from panelspark.session import scratch_path, written
 from panelspark.sinks import files as sinks
 from panelspark.sinks import tables
-from panelspark.sources.files import read_table
-from panelspark.testtables import dim_fips, gdp_raw
+from panelspark.sources.files import read_table, scan_entity_csv
+from panelspark.testtables import _state_code, dim_fips, gdp_raw, table
 
 
 def _in_database(spark: SparkSession, work: Callable[[str], DataFrame]) -> DataFrame:
@@ -29,6 +29,29 @@ def _in_database(spark: SparkSession, work: Callable[[str], DataFrame]) -> DataF
         spark.sql(f"drop database {database} cascade")
 
 
+@query("""
+    select lpad(cast(c_nationkey + 1 as varchar), 2, '0') || '001' as fips_code,
+           cast(year(o_orderdate) as varchar) || '-01-01' as observation_date, cast(count(*) as integer) as gdp_value
+    from orders join customer on o_custkey = c_custkey group by all""")
+def scan_entity_files(spark, sf):
+    """The orders of each nation and year from one CSV file for each nation, the nation taken from the file's name."""
+    orders = table(spark, sf, "orders").groupBy("o_custkey", F.year("o_orderdate").alias("year")).agg(F.count("*").alias("n"))
+    rows = orders.join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    rows = rows.groupBy(F.concat(_state_code(), F.lit("001")).alias("code"), "year").agg(F.sum("n").alias("value"))
+    date = F.concat(F.col("year").cast("string"), F.lit("-01-01")).alias("observation_date")
+    path = scratch_path(spark, "entities")
+    rows = rows.select("code", date, "value").repartition("code")
+    rows.write.partitionBy("code").option("header", True).csv(f"{path}/written")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    written_files = hadoop(f"{path}/written/code=*/part-*.csv")
+    fs = written_files.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop(f"{path}/named"))
+    for file in fs.globStatus(written_files):  # one for each nation
+        code = file.getPath().getParent().getName().removeprefix("code=")
+        fs.rename(file.getPath(), hadoop(f"{path}/named/gdpall{code}.csv"))
+    return scan_entity_csv(spark, f"{path}/named/gdpall*.csv")
+
+
 @query("select *, cast(1 as bigint) as files from dim_fips")
 def write_single_file_roundtrip(spark, sf):
     """The dimension as one file."""

@@ -13,6 +13,8 @@ reduced to one row per year by then.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelspark.plans.airquality import MAIN_CITIES
+
 STATE_WIDTH = 2
 COUNTY_WIDTH = 11
 COUNTY_BASE = 10**COUNTY_WIDTH
@@ -35,6 +37,9 @@ CITIES = [
 ]
 
 
+#: Cities of the yearly records: those that are kept, and one that is not.
+EPA_CITIES = [*MAIN_CITIES, "Elsewhere"]
+
 # Declared, so that reading a table starts no job to look into its files.
 SCHEMAS = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -61,9 +66,9 @@ def _county_code() -> Column:
     return F.lpad((F.col("c_custkey") + 1).cast("string"), COUNTY_WIDTH, "0")
 
 
-def _city_name(number: Column) -> Column:
-    """The name of a city by its position in the fixed list."""
-    return F.element_at(F.array(*[F.lit(c) for c in CITIES]), (number % len(CITIES) + 1).cast("int"))
+def _city_name(number: Column, names: list[str] = CITIES) -> Column:
+    """The name of a city by its position in the list."""
+    return F.element_at(F.array(*[F.lit(c) for c in names]), (number % len(names) + 1).cast("int"))
 
 
 def dim_fips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,10 +182,10 @@ def observation_records(rows: DataFrame) -> DataFrame:
 def epa_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     third = F.col("o_orderkey") % 3
     pollutant = F.when(third == 0, "PM2.5").when(third == 1, "Ozone").otherwise("NO2")
-    city = F.col("o_custkey") % len(CITIES)
+    city = F.col("o_custkey") % len(EPA_CITIES)
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("obs_id"),
-        F.concat(F.lit("data/raw/"), _city_name(F.col("o_custkey")), F.lit("_"), pollutant, F.lit(".json")).alias(
+        F.concat(F.lit("data/raw/"), _city_name(F.col("o_custkey"), EPA_CITIES), F.lit("_"), pollutant, F.lit(".json")).alias(
             "source_file"
         ),
         (city + 1).cast("string").alias("state_code"),
@@ -211,7 +216,7 @@ _WIDE_SQL = """tot as Total_Population, b1 as Population_0_4, b2 as Population_5
   b4 as Population_25_44, b5 as Population_45_64, b6 as Population_65_plus, b1 + b2 as Population_Under_18,
   b3 + b4 as Population_18_54, b5 + b6 as Population_55_plus, male as Male_Population,
   tot - male as Female_Population"""
-_CITY_ROWS = ", ".join(f"({n}, '{c}')" for n, c in enumerate(CITIES))
+_CITY_ROWS, _EPA_CITY_ROWS = (", ".join(f"({n}, '{c}')" for n, c in enumerate(names)) for names in (CITIES, EPA_CITIES))
 
 VIEWS = {
     "dim_fips": f"""
@@ -240,18 +245,19 @@ VIEWS = {
     "population_raw": f"""
       select id as IBRC_Geo_ID, location as Description, yr as Year, {_WIDE_SQL} from population_rows""",
     "cities": f"select * from (values {_CITY_ROWS}) as t(city_id, city_name)",
+    "epa_cities": f"select * from (values {_EPA_CITY_ROWS}) as t(city_id, city_name)",
     "aqi_obs": """
       select event_id, ts, cast(cast(ts as date) as varchar) as DateObserved, cast(hour(ts) as integer) as HourObserved,
              event_type as ParameterName, cast(floor(value) as integer) as AQI, props as Category,
              city_name as TargetCity
       from events join cities on user_id % 13 = city_id""",
-    "epa_obs": """
+    "epa_obs": f"""
       select o_orderkey as obs_id, 'data/raw/' || city_name || '_' ||
              case when o_orderkey % 3 = 0 then 'PM2.5' when o_orderkey % 3 = 1 then 'Ozone' else 'NO2' end || '.json'
              as source_file,
              cast(city_id + 1 as varchar) as state_code, cast(o_custkey + 1 as varchar) as county_code,
              cast(year(o_orderdate) as integer) as year, o_totalprice as arithmetic_mean
-      from orders join cities on o_custkey % 13 = city_id""",
+      from orders join epa_cities on o_custkey % {len(EPA_CITIES)} = city_id""",
     "code_lines": f"""
       select '  ' || {_STATE} || lpad(cast(c_custkey % 1000 as varchar), 3, '0') || '    ' || c_name as value
       from customer""",

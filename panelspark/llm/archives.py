@@ -44,24 +44,29 @@ def digest(data: bytes) -> str:
 # Writing ARC
 
 
-def version_block(version: int, name: str) -> str:
+def raw(rows: list[bytes]) -> pa.RecordBatch:
+    """Records for the text writer, which puts out the bytes of a value as they are, UTF-8 or not."""
+    data = pa.array(rows, pa.binary())
+    return pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.string(), len(data), data.buffers())], ["value"])
+
+
+def version_block(version: int, name: str) -> bytes:
     body = f"{version} 0 panelspark\n{ARC_FIELDS[version]}\n"
     middle = "text/plain" if version == 1 else f"text/plain 200 - - 0 {name}"
-    return f"filedesc://{name} 0.0.0.0 {DATE} {middle} {len(body)}\n{body}"
+    return f"filedesc://{name} 0.0.0.0 {DATE} {middle} {len(body)}\n{body}".encode()
 
 
-def arc_record(version: int, key, url: str | None, payload: str, name: str) -> str:
+def arc_record(version: int, key, url: str | None, payload: bytes, name: str) -> bytes:
     """One record: header line and an HTTP response; the writer adds the line break."""
     uri = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "") or "-"
-    data = payload.encode()
-    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nX-Page-Id: {'' if key is None else key}\r\nContent-Length: {len(data)}\r\n\r\n"
-    length = len(head.encode()) + len(data)
+    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nX-Page-Id: {'' if key is None else key}\r\nContent-Length: {len(payload)}\r\n\r\n"
+    length = len(head.encode()) + len(payload)
     middle = "text/html" if version == 1 else f"text/html 200 - - 0 {name}"
-    return f"{uri} 0.0.0.0 {DATE} {middle} {length}\n{head}{payload}"
+    return f"{uri} 0.0.0.0 {DATE} {middle} {length}\n{head}".encode() + payload
 
 
 def write_arc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html") -> None:
-    """One archive for each partition, of version 1 and 2 by turns."""
+    """One archive for each partition, of version 1 and 2 by turns. Payloads are texts, kept as UTF-8, or bytes."""
 
     def run(batches):
         from pyspark import TaskContext
@@ -72,14 +77,14 @@ def write_arc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url
             rows = [] if begun else [version_block(version, name)]
             begun, held = True, 0
             for k, u, p in zip(*(batch.column(c) for c in ("key", "url", "payload"))):
-                rows.append(arc_record(version, k.as_py(), u.as_py(), p.as_py() or "", name))
+                rows.append(arc_record(version, k.as_py(), u.as_py(), p.as_py() or b"", name))
                 held += len(rows[-1])
                 if held > BATCH_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], ["value"])
+                    yield raw(rows)
                     rows, held = [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], ["value"])
+            yield raw(rows)
 
-    rows = pages.select(F.col(key).cast("string").alias("key"), F.col(url).alias("url"), F.col(payload).cast("string").alias("payload"))
+    rows = pages.select(F.col(key).cast("string").alias("key"), F.col(url).alias("url"), F.col(payload).cast("binary").alias("payload"))
     lines = rows.mapInArrow(run, "value string")
     lines.write.option("lineSep", "\n").option("compression", "gzip").text(path)
 
@@ -174,7 +179,7 @@ def record_id(uri: str, date: str, key, payload_digest: str, kind: str, offset:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{uri} {date} {key} {payload_digest} {kind} {offset}')}>"
 
 
-def warc_record(r: dict) -> str:
+def warc_record(r: dict) -> bytes:
     """Head and block of a record; the writer adds what ends it. A revisit keeps the HTTP head alone."""
     first = r["first"]
     response = first is None or (r["file"], r["offset"]) == (first["file"], first["offset"])
@@ -201,11 +206,11 @@ def warc_record(r: dict) -> str:
             f"X-Refers-To-Page-Id: {'' if first['key'] is None else first['key']}",
         ]
     lines.append(f"Content-Length: {len(block)}")
-    return "\r\n".join(lines) + "\r\n\r\n" + block.decode()
+    return ("\r\n".join(lines) + "\r\n\r\n").encode() + block
 
 
 def convert(spark: SparkSession, arc: str, warc: str, least_bytes: int = 0) -> None:
-    """Archives of the folder ``arc`` as WARC files in the folder ``warc``. Payloads must be UTF-8.
+    """Archives of the folder ``arc`` as WARC files in the folder ``warc``, byte for byte.
 
     The smallest key of each digest is found by an aggregation that combines before the shuffle; the records then meet it
     in a join that may split a digest with very many copies.
@@ -222,9 +227,9 @@ def convert(spark: SparkSession, arc: str, warc: str, least_bytes: int = 0) -> N
                 out.append(warc_record(r))
                 held += len(out[-1])
                 if held > BATCH_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
+                    yield raw(out)
                     out, held = [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
+            yield raw(out)
 
     lines = rows.mapInArrow(run, "value string")
     lines.write.option("lineSep", RECORD_END).option("compression", "gzip").text(warc)

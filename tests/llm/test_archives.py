@@ -70,12 +70,12 @@ def test_files_are_archives(spark, tmp_path):
 
 @pytest.mark.parametrize("version", [1, 2])
 def test_header_lines_of_both_versions(version):
-    text = archives.version_block(version, "x.arc") + "\n" + archives.arc_record(version, 4, "http://a/ü", "ä", "x.arc") + "\n"
-    ((offset, uri, ip, date, block),) = archives.arc_records(io.BytesIO(text.encode()))
+    text = archives.version_block(version, "x.arc") + b"\n" + archives.arc_record(version, 4, "http://a/ü", "ä".encode(), "x.arc") + b"\n"
+    ((offset, uri, ip, date, block),) = archives.arc_records(io.BytesIO(text))
     assert (uri, ip, date) == ("http://a/ü", "0.0.0.0", "2024-01-01T00:00:00Z")
     assert archives.split_http(block)[1].decode() == "ä" and archives.header_of(block, b"x-page-id") == "4"
     with pytest.raises(ValueError, match="ends early"):
-        list(archives.arc_records(io.BytesIO(text.encode()[:-4])))
+        list(archives.arc_records(io.BytesIO(text[:-4])))
     with pytest.raises(ValueError, match="header line"):
         list(archives.arc_records(io.BytesIO(b"http://a 1.1.1.1 text/html\n")))
 
@@ -87,6 +87,20 @@ def test_blanks_in_a_url_and_short_dates():
     assert (uri, date, archives.split_http(block)) == ("http://a/b c", "1996-09-01T00:00:00Z", (b"", body))
 
 
+def test_payloads_that_are_no_text(spark, tmp_path):
+    """Legacy encodings, images and what looks like the end of a record come back byte for byte."""
+    payloads = ["caf\u00e9".encode("latin-1"), bytes(range(256)) * 50, b"\xff\xfe", b"\r\n\r\nWARC/1.1\r\n\r\n", b"\x89PNG\r\n\x1a\n", b"", None]
+    pages = [(i, f"http://a/{i}", p) for i, p in enumerate([*payloads, payloads[0], payloads[1]])]
+    arc, warc = str(tmp_path / "arc"), str(tmp_path / "warc")
+    archives.write_arc(spark.createDataFrame(pages, "page_id long, url string, html binary").repartition(2), arc)
+    archives.convert(spark, arc, warc)
+    got = {r.key: r for r in archives.read_warc(spark, warc).collect()}
+    assert {k: bytes(r.payload) for k, r in got.items() if r.record_type == "response"} == {i: p for i, p in enumerate(payloads[:6])}
+    assert {k: (r.refers_to, r.payload_bytes) for k, r in got.items() if r.record_type == "revisit"} == {6: (5, 0), 7: (0, 4), 8: (1, 12800)}
+    for i, p in enumerate(payloads):
+        assert got[i].payload_digest == archives.digest(p or b"")
+
+
 def test_least_bytes_keeps_small_copies_as_responses(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcdef"), (4, "u", "abcdef")], "page_id long, url string, html string")
     archives.write_arc(pages, f"{tmp_path}/arc")

@@ -42,7 +42,11 @@ def test_links_orders_checks_and_serialises(spark):
     results = [(1, "a", "one", 9), (1, "a", "One", 9), (1, "c", None, 9), (2, "a", "wrong", 9), (None, "h", "null conversation", 9), (2, None, "no id", 9)]
     out = toolcalls.linked(spark.createDataFrame(calls, CALL), spark.createDataFrame(results, RESULT))
     got = {r.call_id: r for r in out.collect()}
-    assert len(got) == 9
+    got = {r.call_id: r for r in out.collect() if r.copies}
+    (orphan,) = [r for r in out.collect() if not r.copies]
+    assert (orphan.conv_id, orphan.call_id, orphan.answers, orphan.linked, orphan.faults) == (2, "a", 1, False, "call: missing")
+    assert json.loads(orphan.json) == {"arguments": {"arguments": None}, "depth": 0, "id": "a", "name": None, "result": "wrong"}
+    assert len(got) == 9 and got["a"].answers == 2 and got["b"].answers == 0
     assert {k: (r.depth, r.rooted) for k, r in got.items()} == {
         "a": (0, True), "b": (1, True), "c": (2, True), "d": (0, False), "e": (None, False), "f": (None, False),
         "g": (None, False), "h": (3, True), None: (None, False),
@@ -65,6 +69,46 @@ def test_long_chains_take_few_rounds(spark):
     assert {r.node: r.depth for r in out.collect()} == {f"n{i}": i for i in range(300)}
 
 
+def longest(edges):
+    """(depth, rooted) of each node by recursion; null depth on a way into a cycle."""
+    before = {}
+    for node, after in edges:
+        before.setdefault(node, set()).update([after] if after is not None else [])
+
+    def visit(node, path):
+        if node in path:
+            return None, False
+        if not before[node]:
+            return 0, True
+        ways = [visit(b, path | {node}) if b in before else (-1, False) for b in before[node]]
+        if any(d is None for d, _ in ways):
+            return None, False
+        return max(d for d, _ in ways) + 1, all(r for _, r in ways)
+
+    return {node: visit(node, frozenset()) for node in before}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_depths_of_graphs(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+    nodes = [f"n{i}" for i in range(24)]
+    edges = [(n, None if rng.random() < 0.3 or not i else nodes[rng.randrange(i)]) for i, n in enumerate(nodes)]
+    edges += [(nodes[i], nodes[rng.randrange(i)]) for i in rng.sample(range(1, 24), 6)]
+    edges += [("x", "gone"), ("y", "x"), ("y", "n3"), (None, "n1")] + [("n4", "n9")] * (seed % 2) + [("c1", "c2"), ("c2", "c1"), ("d", "c1"), ("d", "n2")]
+    out = toolcalls.depths(spark.createDataFrame(edges, "node string, after string"))
+    got = {r.node: (r.depth, r.rooted) for r in out.collect()}
+    assert got == longest([e for e in edges if e[0] is not None])
+
+
+def test_a_call_that_needs_two_results_comes_after_both(spark):
+    calls = [(1, "a", None), (1, "b", "a"), (1, "c", "b"), (1, "d", "a"), (1, "d", "c"), (1, "e", "d")]
+    rows = [(c, k, after, "ask", '{"query": "q", "words": 1}', None) for c, k, after in calls]
+    out = toolcalls.linked(spark.createDataFrame(rows, CALL), spark.createDataFrame([], RESULT))
+    assert {r.call_id: (r.depth, r.copies) for r in out.collect()} == {"a": (0, 1), "b": (1, 1), "c": (2, 1), "d": (3, 1), "e": (4, 1)}
+
+
 @pytest.mark.parametrize("turns", [[], [(None, 0, "user", "a"), (1, None, "user", "a"), (1, 0, None, "a"), (1, 1, "user", None), (1, 1, "user", None)]])
 def test_odd_turns(spark, turns):
     table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")

@@ -35,12 +35,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.llm.bpe import parts
-from panelspark.llm.tables import stored
+from panelspark.llm.tables import released, stored
 
 #: Bytes of text in a block, whose words are counted together, and in one of its pieces, which are handled one by one; a
 #: longer document is a piece by itself.
 BLOCK_BYTES = 8 << 20
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 #: The end of a document as a word; no word holds a blank.
 END = b"\n"
 
@@ -479,6 +479,7 @@ def scored(df: DataFrame, key: str = "doc_id", text: str = "text", settings: Set
     found = leaves(known.select("word", (F.col("n") + 0.5).alias("mass")), n + 0.5 * v, settings)
     kind = docs.schema["key"].dataType.simpleString()
     tokens = stored(ready(made, words, found, n, v, kind), "tokens")
+    released(made, words, known)
     weights = spark.sparkContext.broadcast(trained(tokens, found.mass, n, settings))
     out = tokens.mapInArrow(_scorer(weights, found.mass, settings), f"key {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select(F.col("key").alias(key), "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelspark.session import scratch_path
+from panelspark.session import remove, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,3 +35,10 @@ def stored(df: DataFrame, name: str = "llm") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def released(*tables: DataFrame) -> None:
+    """Deletes the files of stored tables that are not read again."""
+    for df in tables:
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()[:1]}:
+            remove(df.sparkSession, folder)

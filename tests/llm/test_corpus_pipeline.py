@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 import corpus_pipeline
 from panelspark.llm import quality
@@ -9,7 +10,7 @@ from tests.llm.test_simhash import brute as grouped
 SF = "/root/testdata/sf0.001"
 
 
-def without_repeats(texts, window=400):
+def without_repeats(texts, window=corpus_pipeline.REPEAT_BYTES):
     seen, out = {}, []
     for t in texts:
         u = t.encode()
@@ -21,7 +22,8 @@ def without_repeats(texts, window=400):
         for i in range(len(u) - window + 1):
             if seen[u[i : i + window]] > 1:
                 gone[i : i + window] = b"\x01" * window
-        out.append(bytes(b for b, g in zip(u, gone) if not g).decode(errors="ignore"))
+        stretches = [u[m.start() : m.end()] for m in re.finditer(b"\x00+", bytes(gone))]
+        out.append("".join(x.decode(errors="ignore") for x in stretches))
     return out
 
 

@@ -88,6 +88,36 @@ def test_cleaned_texts_keep_their_own_replacement_characters(docs):
     assert out == {0: "0\ufffd", 1: "1\ufffd", 2: "a\ufffdè", 3: "b\ufffdé"}
 
 
+def test_ends_of_two_cut_characters_make_none(docs):
+    """Texts that share all but the first and the last byte keep C3 and A8, and C4 and A8, of different characters."""
+    between = "\u00e9" + "y" * 60 + "\u00e8"  # C3 A9 .. C3 A8
+    other = "\u0129" + "y" * 60 + "\u00e9"  # C4 A9 .. C3 A9
+    assert between.encode()[1:-1] == other.encode()[1:-1]
+    out = {r.doc_id: r.text for r in suffixarray.cleaned(docs([between, other]), window=40).collect()}
+    assert out == {0: "", 1: ""}
+
+
+@pytest.mark.parametrize("window", [4, 20, 33])
+def test_small_windows_over_many_partitions(spark, docs, window):
+    texts = corpus(window, 12)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        out = {r.doc_id: tuple(r)[1:] for r in suffixarray.report(docs(texts), window=window).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert out == dict(enumerate(brute(texts, window, False)))
+
+
+def test_columns_that_clash(docs):
+    df = docs(["a" * 60 + "1", "a" * 60 + "2", None])
+    for name in ("uid", "__uid", "__kept", "kept", "changed", "row", "spans"):
+        df = df.withColumn(name, df.text)
+    out = suffixarray.cleaned(df, window=40)
+    assert out.columns == df.columns
+    assert sorted((r.doc_id, r.text, r.kept and len(r.kept)) for r in out.collect()) == [(0, "1", 61), (1, "2", 61), (2, None, None)]
+
+
 def test_empty_table(docs):
     assert suffixarray.report(docs([])).count() == 0
     assert substrings.report(docs([])).count() == 0

@@ -102,5 +102,13 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_columns_that_clash(docs):
+    df = docs(["one two three four five", "one two three four five", "quite another text than this one"])
+    for name in ("uid", "__uid", "row", "component_id", "fingerprint"):
+        df = df.withColumn(name, df.text)
+    kept = simhash.one_of_each(df, width=4, distance=4)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [0, 2]
+
+
 def test_empty_table(docs):
     assert simhash.groups(docs([])).count() == 0

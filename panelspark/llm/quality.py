@@ -172,8 +172,8 @@ def scored(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "t
 
 
 def accepted(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """The rows of the table, all columns, whose predicted label is 1."""
-    stats = stored(df.select(F.col(key), statistics(F.col(text)).alias("stats")), "statistics")
-    model = trained(stats, labels, key, **settings)
-    return df.filter(model.score(statistics(F.col(text))) >= 0.5)
-
+    """The rows of the table, all columns, whose predicted label is 1. They are stored with their statistics, which so are
+    found once."""
+    rows = stored(df.select(F.struct("*").alias("row"), statistics(F.col(text)).alias("stats")), "statistics")
+    model = trained(rows.select(F.col("row").getField(key).alias(key), "stats"), labels, key, **settings)
+    return rows.filter(model.score(F.col("stats")) >= 0.5).select("row.*")

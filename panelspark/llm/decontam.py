@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,14 +33,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.llm.bpe import parts
 from panelspark.llm.tables import stored
 
 WINDOW = 5
 LEAST_SHARE = 0.8
 LEAST_LITERALS = 2
-#: Distinct windows and tokens of the items up to which their hashes go to every task; beyond it both sides are shuffled.
+#: Distinct windows and words of the items up to which they go to every task; beyond it both sides are shuffled.
 MOST_SENT = 1 << 20
-#: Words that a worker remembers before it starts anew.
+#: Characters of text whose words are handled at once, and words that a worker remembers before it starts anew.
+TEXT_AT_ONCE = 1 << 19
 KNOWN_WORDS = 1 << 19
 
 NUMBER_WORDS = frozenset(
@@ -52,68 +55,95 @@ UNITS = frozenset(
     "inch feet foot yards yard grams gram kilograms kilogram pounds pound ounces ounce liters liter litres litre degrees "
     "degree percent dollars dollar euros euro cents cent usd eur mph kmh kw kwh w v a hz".split()
 )
-TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?\n]")
+#: Ends a text among others; in a text it means no more than a blank.
+BREAK = "\x1e"
+TOKEN = re.compile(rf"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?\n{BREAK}]")
 LITERAL, END, NUMBER, CAPITAL, UNIT = range(5)
 NUMBER_SLOT, NAME_SLOT, UNIT_SLOT = (np.uint64(xxhash.xxh64_intdigest(s)) for s in ("<number>", "<name>", "<unit>"))
 
 
 class Words(dict):
     """Numbers words in the order they are met; kinds and hashes of the word with a number, and whether it may stand in a
-    window of the items, whose tokens are the vocabulary: without one any word may."""
+    window of the items, whose words and slots are the vocabulary: without one any word may. All plain words
+    beside the vocabulary have the number 0."""
 
-    def __init__(self, vocabulary: frozenset[int] | None = None):
-        self.vocabulary = vocabulary
-        self.kinds, self.hashes, self.may = np.empty(1 << 12, np.int8), np.empty(1 << 12, np.uint64), np.empty(1 << 12, bool)
+    def __init__(self, vocabulary: frozenset[str] | None = None):
+        self.vocabulary, self.n = vocabulary, 1
+        self.told = None if vocabulary is None else vocabulary | NUMBER_WORDS | UNITS
+        self.kinds, self.hashes, self.may = np.zeros(1 << 12, np.int8), np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, bool)
 
     def __missing__(self, word: str) -> int:
-        k = len(self)
+        if self.told is not None and word not in self.told and word.islower():
+            self[word] = 0
+            return 0
+        k, self.n = self.n, self.n + 1
         if k == len(self.kinds):
             self.kinds, self.hashes, self.may = (np.resize(a, 2 * k) for a in (self.kinds, self.hashes, self.may))
         low = word.lower()
-        own = xxhash.xxh64_intdigest(low)
-        if word in ".!?\n":
+        if word in (".", "!", "?", "\n", BREAK):
             kind, readings = END, ()
         elif word[0].isdigit() or low in NUMBER_WORDS:
-            kind, readings = NUMBER, (int(NUMBER_SLOT),)
+            kind, readings = NUMBER, ("<number>",)
         elif len(word) > 1 and word[0].isupper() and word[1:].islower():
-            kind, readings = CAPITAL, (own, int(NAME_SLOT))
+            kind, readings = CAPITAL, (low, "<name>")
         elif low in UNITS:
-            kind, readings = UNIT, (own, int(UNIT_SLOT))
+            kind, readings = UNIT, (low, "<unit>")
         else:
-            kind, readings = LITERAL, (own,)
-        self.kinds[k], self.hashes[k] = kind, own
+            kind, readings = LITERAL, (low,)
+        self.kinds[k], self.hashes[k] = kind, xxhash.xxh64_intdigest(low)
         self.may[k] = self.vocabulary is None or not self.vocabulary.isdisjoint(readings)
         self[word] = k
         return k
 
 
-def template(text: str, known: Words) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The words without sentence ends, the hash of what stands for each, which are slots, which are capitalised
-    sentence starts, literal here but perhaps names, and which may stand in a window of the items."""
-    tokens = TOKEN.findall(text)
-    k = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
-    kinds, hashes = known.kinds[k], known.hashes[k]
-    before = np.concatenate([[END], kinds[:-1]]) if len(kinds) else kinds
-    number, unit = kinds == NUMBER, (kinds == UNIT) & (before == NUMBER)
-    name = (kinds == CAPITAL) & (before != END)
-    slot, start = number | unit | name, (kinds == CAPITAL) & (before == END)
-    hashes = np.where(number, NUMBER_SLOT, np.where(unit, UNIT_SLOT, np.where(name, NAME_SLOT, hashes)))
-    word = kinds != END
-    valued = slot.any() or start.any()
-    return [t for t, w in zip(tokens, word) if w] if valued else tokens, hashes[word], slot[word], start[word], known.may[k][word]
-
-
-def window_hashes(hashes: np.ndarray, slot: np.ndarray, start: np.ndarray, may: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+@dataclass
+class Template:
+    """The templates of some texts, word by word without sentence ends: the token of each word, the hash of what stands for
+    it, which are slots, which are capitalised sentence starts, literal here but perhaps names, which may stand in a window
+    of the items, and the text that each belongs to."""
+
+    tokens: list[str]
+    token: np.ndarray
+    hashes: np.ndarray
+    slot: np.ndarray
+    start: np.ndarray
+    may: np.ndarray
+    text: np.ndarray
+    sizes: np.ndarray  # of the texts, in words
+
+    @classmethod
+    def of(cls, texts: list[str], known: Words) -> Template:
+        tokens = TOKEN.findall(BREAK.join(t.replace(BREAK, " ") for t in texts))
+        k = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
+        kinds, hashes = known.kinds[k], known.hashes[k]
+        before = np.concatenate([[END], kinds[:-1]]) if len(kinds) else kinds
+        number, unit, capital = kinds == NUMBER, (kinds == UNIT) & (before == NUMBER), kinds == CAPITAL
+        name, start = capital & (before != END), capital & (before == END)
+        hashes = np.where(number, NUMBER_SLOT, np.where(unit, UNIT_SLOT, np.where(name, NAME_SLOT, hashes)))
+        word = np.flatnonzero(kinds != END)
+        text = np.cumsum(k == known[BREAK])[word]
+        slot = (number | unit | name)[word]
+        return cls(tokens, word, hashes[word], slot, start[word], known.may[k][word], text, np.bincount(text, minlength=len(texts)))
+
+
+def window_hashes(t: Template, width: int, wanted: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """Hashes of the windows that hold enough literal words and only words that may stand in one, where they start, the hash
     of each with its sentence starts all literal, and which of its places are slots. A reading takes some of the sentence
-    starts of a window as names."""
+    starts of a window as names. ``wanted``: the texts to look at."""
+    empty = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty((0, width), bool)
+    if len(t.hashes) < width:
+        return empty
     summed = lambda flags: np.concatenate([[0], np.cumsum(flags)])
-    allowed, literals, starts = summed(may), summed(~slot), summed(start)
-    at = np.flatnonzero(allowed[width:] - allowed[:-width] == width)
+    allowed = summed(t.may)
+    at = np.flatnonzero((allowed[width:] - allowed[:-width] == width) & (t.text[width - 1 :] == t.text[: len(t.text) - width + 1]))
+    literals, starts = summed(~t.slot), summed(t.start)
     literal = literals[at + width] - literals[at]
-    at, literal = at[literal >= LEAST_LITERALS], literal[literal >= LEAST_LITERALS]
+    enough = literal >= LEAST_LITERALS
+    if wanted is not None:
+        enough &= wanted[t.text[at]]
+    at, literal = at[enough], literal[enough]
     if not len(at):
-        return np.empty(0, np.uint64), at, np.empty(0, np.uint64), np.empty((0, width), bool)
+        return empty
 
     def mixed(columns):
         total = np.zeros(len(columns[0]), np.uint64)
@@ -123,7 +153,7 @@ def window_hashes(hashes: np.ndarray, slot: np.ndarray, start: np.ndarray, may:
         return total
 
     places = at[:, None] + np.arange(width)
-    words, slots_of = hashes[places], slot[places]
+    words, slots_of = t.hashes[places], t.slot[places]
     total = mixed(list(words.T))
     found, ats, wholes, slots = [total], [at], [total], [slots_of]
     many = starts[at + width] - starts[at]
@@ -132,7 +162,7 @@ def window_hashes(hashes: np.ndarray, slot: np.ndarray, start: np.ndarray, may:
         if not len(own):
             continue
         rank = starts[places[own]] - starts[at[own]][:, None]
-        name = start[places[own]] & ((chosen >> rank) & 1 > 0)
+        name = t.start[places[own]] & ((chosen >> rank) & 1 > 0)
         found.append(mixed(list(np.where(name, NAME_SLOT, words[own]).T)))
         ats.append(at[own])
         wholes.append(total[own])
@@ -140,59 +170,42 @@ def window_hashes(hashes: np.ndarray, slot: np.ndarray, start: np.ndarray, may:
     return tuple(map(np.concatenate, (found, ats, wholes, slots)))
 
 
-def tokens_of(items: DataFrame, text: str) -> DataFrame:
-    """(token): the hashes that stand in the items' templates, in any reading."""
+def words_of(items: DataFrame, text: str) -> DataFrame:
+    """(word): the words of the items, lower-cased, and the kinds of slots that stand in their templates in any reading."""
 
     def run(batches):
-        known = Words()
+        known, names = Words(), {int(NUMBER_SLOT): "<number>", int(NAME_SLOT): "<name>", int(UNIT_SLOT): "<unit>"}
         for batch in batches:
-            for t in batch.column("text"):
-                _, hashes, _, start, _ = template(t.as_py() or "", known)
-                own = np.unique(np.append(hashes, NAME_SLOT) if start.any() else hashes)
-                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64))], ["token"])
+            t = Template.of([x or "" for x in batch.column("text").to_pylist()], known)
+            found = {t.tokens[i].lower() for i in t.token.tolist()} | {names[h] for h in np.unique(t.hashes[t.slot]).tolist()}
+            found |= {"<name>"} if t.start.any() else set()
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], ["word"])
 
-    return items.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "token long").distinct()
+    return items.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "word string").distinct()
 
 
 def windows(df: DataFrame, key: str, text: str, widths: Sequence[int] | None, wanted=None) -> DataFrame:
     """(key, h, whole, slots, row, at, length, width): every reading of every window, the window it is a reading of, and the
     values of its slots as "place value". Of those with slots, also a hash of their text, their place in it, and its
     length in words. Windows of the widths, or without any of the whole text up to WINDOW words. ``wanted``: the
-    hashes of the windows and of the tokens to look for; windows with another token are never made."""
+    hashes of the windows to look for and the words of the items; windows with another word are never made."""
 
     def run(batches):
         want, vocabulary = wanted.value if wanted is not None else (None, None)
         known = Words(vocabulary)
-        for batch in batches:
-            rows, found, wholes, values, places, lengths, sizes = [], [], [], [], [], [], []
-            for row, t in enumerate(batch.column("text")):
-                if len(known) > KNOWN_WORDS:
-                    known = Words(vocabulary)
-                tokens, hashes, slot, start, may = template(t.as_py() or "", known)
-                for width in (min(WINDOW, len(hashes)),) if widths is None else widths:
-                    if not 0 < width <= len(hashes):
-                        continue
-                    own, at, whole, slots = window_hashes(hashes, slot, start, may, width)
-                    if want is not None and len(own):
-                        hit = want[np.minimum(np.searchsorted(want, own), len(want) - 1)] == own if len(want) else np.zeros(len(own), bool)
-                        own, at, whole, slots = own[hit], at[hit], whole[hit], slots[hit]
-                    if not len(own):
-                        continue
-                    some = slots.any(axis=1)
-                    rows.append(np.full(len(own), row))
-                    found.append(own.view(np.int64))
-                    wholes.append(whole.view(np.int64))
-                    places.append(np.where(some, at, -1))
-                    lengths.append(np.full(len(own), len(hashes)))
-                    sizes.append(np.full(len(own), width))
-                    values += [
-                        [f"{i} {tokens[a + i]}" for i in np.flatnonzero(o).tolist()] if s else [] for a, o, s in zip(at.tolist(), slots, some)
-                    ]
-                if len(values) > 50_000:
-                    yield _rows(batch, rows, found, wholes, values, places, lengths, sizes)
-                    rows, found, wholes, values, places, lengths, sizes = [], [], [], [], [], [], []
-            if rows:
-                yield _rows(batch, rows, found, wholes, values, places, lengths, sizes)
+        for batch in (part for whole in batches for part in parts(whole, "text", TEXT_AT_ONCE)):
+            if len(known) > KNOWN_WORDS:
+                known = Words(vocabulary)
+            t = Template.of([x or "" for x in batch.column("text").to_pylist()], known)
+            first = np.cumsum(t.sizes) - t.sizes
+            for width in range(1, WINDOW + 1) if widths is None else widths:
+                own_width = None if widths is not None else np.minimum(t.sizes, WINDOW) == width
+                own, at, whole, slots = window_hashes(t, width, own_width)
+                if want is not None and len(own):
+                    hit = want[np.minimum(np.searchsorted(want, own), len(want) - 1)] == own if len(want) else np.zeros(len(own), bool)
+                    own, at, whole, slots = own[hit], at[hit], whole[hit], slots[hit]
+                for some in np.array_split(np.arange(len(own)), -(-len(own) // 50_000)) if len(own) else ():
+                    yield _rows(batch, t, first, own[some], at[some], whole[some], slots[some], width)
 
     whole = F.col(text).cast("string")
     rows = df.select(F.col(key).alias("key"), whole.alias("text"), F.xxhash64(whole).alias("row"))
@@ -200,19 +213,24 @@ def windows(df: DataFrame, key: str, text: str, widths: Sequence[int] | None, wa
     return rows.mapInArrow(run, f"key {kind}, h long, whole long, slots array<string>, row long, at long, length long, width long")
 
 
-def _rows(batch, rows, found, wholes, values, places, lengths, sizes):
-    take, at = pa.array(np.concatenate(rows)), np.concatenate(places)
-    plain = at < 0
+def _rows(batch, t: Template, first, own, at, whole, slots, width):
+    text, valued = t.text[at], slots.any(axis=1)
+    plain = ~valued
+    values = [
+        [f"{i} {t.tokens[t.token[a + i]]}" for i in np.flatnonzero(o).tolist()] if v else []
+        for a, o, v in zip(at.tolist(), slots, valued.tolist())
+    ]
+    take = pa.array(text)
     return pa.RecordBatch.from_arrays(
         [
             batch.column("key").take(take),
-            pa.array(np.concatenate(found)),
-            pa.array(np.concatenate(wholes)),
+            pa.array(own.view(np.int64)),
+            pa.array(whole.view(np.int64)),
             pa.array(values, pa.list_(pa.string())),
             pa.array(batch.column("row").take(take).to_numpy(), mask=plain),
-            pa.array(at, mask=plain),
-            pa.array(np.concatenate(lengths), mask=plain),
-            pa.array(np.concatenate(sizes)),
+            pa.array(at - first[text], mask=plain),
+            pa.array(t.sizes[text], mask=plain),
+            pa.array(np.full(len(at), width)),
         ],
         ["key", "h", "whole", "slots", "row", "at", "length", "width"],
     )
@@ -232,12 +250,11 @@ def contaminated(
     of_items = stored(windows(items, item, item_text, None).withColumnRenamed("key", "item").distinct(), "items")
     sizes = of_items.groupBy("item").agg(F.countDistinct("whole").alias("n_windows"))
     widths = sorted(r.width for r in of_items.select("width").distinct().collect())  # WINDOW at most
-    tokens, wanted = stored(tokens_of(items, item_text), "tokens"), None
+    words, wanted = stored(words_of(items, item_text), "words"), None
     sought = of_items.select("h").distinct()
-    if sought.limit(most_sent + 1).count() <= most_sent and tokens.limit(most_sent + 1).count() <= most_sent:
+    if sought.limit(most_sent + 1).count() <= most_sent and words.limit(most_sent + 1).count() <= most_sent:
         hashes = np.array([r.h for r in sought.toLocalIterator()], np.int64).view(np.uint64)
-        own = np.array([r.token for r in tokens.toLocalIterator()], np.int64).view(np.uint64)
-        wanted = df.sparkSession.sparkContext.broadcast((np.sort(hashes), frozenset(own.tolist())))
+        wanted = df.sparkSession.sparkContext.broadcast((np.sort(hashes), frozenset(r.word for r in words.toLocalIterator())))
     hits = windows(df, key, text, widths, wanted).drop("length", "width").distinct()
     hits = hits.select("key", "h", F.col("whole").alias("own_whole"), F.col("slots").alias("own"), F.col("row").alias("own_row"), F.col("at").alias("own_at"))
     literal = (F.col("h") == F.col("whole")) & (F.col("h") == F.col("own_whole"))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.llm.bpe import parts
-from panelspark.llm.tables import stored
+from panelspark.llm.tables import released, stored
 from panelspark.session import scratch_table
 
 #: Contexts of one key that a task may hold; more are split.
@@ -152,7 +152,9 @@ def anchors_of(texts: DataFrame, symbols: Symbols) -> DataFrame:
     found = stored(texts.select("uid", "data").mapInArrow(run, "uid binary, h long, p long, back int, on int"), "anchors")
     # Written first: a join of two shuffled tables may split a hot gram, one with an aggregate may not.
     counts = stored(found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1"), "grams")
-    return stored(found.join(counts, "h").select("uid", "h", "p", (F.col("p") - F.col("back")).alias("a"), (F.col("p") + F.col("on")).alias("b"), "n"), "anchors")
+    out = stored(found.join(counts, "h").select("uid", "h", "p", (F.col("p") - F.col("back")).alias("a"), (F.col("p") + F.col("on")).alias("b"), "n"), "anchors")
+    released(found, counts)
+    return out
 
 
 CONTEXT = "key binary, uid binary, p long, a long, b long, context binary, solved boolean"

@@ -183,7 +183,7 @@ def test_profiles(people):
 
 
 def test_counts_from_bitmaps(spark, rows):
-    data = [("001", 2001, "a"), ("001", 2001, "a"), ("002", 2002, "a"), ("002", 2001, "b"), ("40000", None, "b"), (None, 2001, "b"), ("99999999999", 2001, None)]
+    data = [("001", 2001, "a"), ("001", 2001, "a"), ("001", 2002, "a"), ("002", 2002, "a"), ("002", 2001, "b"), ("40000", None, "b"), (None, 2001, "b"), ("99999999999", 2001, None)]
     df = spark.createDataFrame(data, "code string, year int, state string")
     assert Q.profile_codes(df, "code", "year").collect() == Q.profile(df, "code", "year").collect()
     assert Q.profile_codes(df.limit(0), "code", "year").first()[:] == (0, 0, 0)

@@ -93,20 +93,25 @@ def held_out(key: Column) -> Column:
 
 def tokens_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """(numbers, words, sizes): for each token the number of its word, and for each text its tokens. Lower-cases A-Z; each
-    text ends with END, whose number is 0."""
-    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
-    words = split.flatten()
-    text = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))
-    full = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0
-    found = words.filter(pa.array(full)).dictionary_encode()
-    sizes = np.bincount(text[full], minlength=len(texts)) + 1
+    text ends with END, whose number is 0. Texts are split a piece at a time, so that little is held beside the result."""
+    chunks, sizes = [], [np.empty(0, np.int64)]
+    for batch in parts(pa.RecordBatch.from_arrays([texts], ["text"]), "text", PIECE_BYTES):
+        split = pc.ascii_split_whitespace(pc.ascii_lower(batch.column(0)))
+        words = split.flatten()
+        text = np.repeat(np.arange(batch.num_rows, dtype=np.int32), np.diff(split.offsets.to_numpy()))
+        full = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0
+        chunks.append(words.filter(pa.array(full)).dictionary_encode())
+        sizes.append(np.bincount(text[full], minlength=batch.num_rows) + 1)
+    chunks = pa.chunked_array(chunks, pa.dictionary(pa.int32(), pa.string())).unify_dictionaries().chunks
+    sizes = np.concatenate(sizes)
     ends = np.cumsum(sizes) - 1
     inside = np.ones(int(sizes.sum()), bool)
     inside[ends] = False
-    numbers = np.zeros(len(inside), np.int64)
-    numbers[inside] = found.indices.to_numpy(zero_copy_only=False) + 1
-    words = pa.concat_arrays([pa.array([END], pa.binary()), found.dictionary.cast(pa.binary())])
-    return numbers, words, sizes
+    numbers = np.zeros(len(inside), np.int32)
+    if chunks:
+        numbers[inside] = np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in chunks]) + 1
+    known = [chunks[0].dictionary.cast(pa.binary())] if chunks else []
+    return numbers, pa.concat_arrays([pa.array([END], pa.binary()), *known]), sizes
 
 
 def blocks(docs: DataFrame, settings: Settings) -> DataFrame:

@@ -188,7 +188,8 @@ def links(prints: DataFrame, distance: int = 4, parts: int = 3) -> DataFrame:
         p = p.select("part", "a", F.col("v").bitwiseXOR(F.col("flip")).alias("v"))
         i = prints.select(F.lit(k).alias("part"), F.col("fingerprint").alias("b"), part.alias("v"))
         probes, index = (p, i) if probes is None else (probes.union(p), index.union(i))
-    met = probes.join(index, ["part", "v"]).filter("a < b").filter(F.expr(f"bit_count(a ^ b) <= {int(distance)}"))
+    # Spark takes a table with its probes for as small as the table, and would send them all through the driver.
+    met = probes.hint("merge").join(index, ["part", "v"]).filter("a < b").filter(F.expr(f"bit_count(a ^ b) <= {int(distance)}"))
     return met.select("a", "b").distinct()
 
 

@@ -7,6 +7,7 @@ import xxhash
 from panelspark.llm import simhash
 from panelspark.llm.components import components
 from panelspark.llm.queries import QUERIES
+from panelspark.llm.tables import stored
 
 
 def brute(ids, texts, width=4, distance=4):
@@ -112,3 +113,11 @@ def test_columns_that_clash(docs):
 
 def test_empty_table(docs):
     assert simhash.groups(docs([])).count() == 0
+
+
+def test_probes_are_not_sent_through_the_driver(spark):
+    """Small files have many probes, which Spark's estimate leaves out."""
+    r = random.Random(7)
+    prints = stored(spark.createDataFrame([(r.getrandbits(63),) for _ in range(300)], "fingerprint long"))
+    plan = simhash.links(prints)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan

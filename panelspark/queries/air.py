@@ -14,7 +14,7 @@ from panelspark.queries.registry import SQL_VIEWS, query
 from panelspark.session import scratch_path, written
 from panelspark.sinks import files as sinks
 from panelspark.sinks.tables import declare_warehouse
-from panelspark.sources.records import malformed_files, scan_records
+from panelspark.sources.records import begun, malformed_files, scan_records
 from panelspark.streaming import observations as stream
 from panelspark.testtables import (
     COUNTY_WIDTH,
@@ -134,8 +134,9 @@ def scan_json_documents(spark, sf):
         sinks.write_json_arrays(half, f"{folder}/{wrapped}", wrapped)
     for name, text in (("cut", '[{"state_code": "1"}, {"year": 20'), ("half", '{"Data": [{"state_code": "1"}]')):
         spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{folder}/{name}")
-    found = scan_records(spark, f"{folder}/*", schemas.EPA_RECORD)
-    broken = malformed_files(spark, f"{folder}/*").count()
+    states = begun(spark, f"{folder}/*")
+    found = scan_records(spark, f"{folder}/*", schemas.EPA_RECORD, states=states)
+    broken = malformed_files(spark, f"{folder}/*", states=states).count()
     kept = found.select("state_code", "county_code", "year", "arithmetic_mean", F.col("state").alias("source_file"))
     return kept.withColumn("malformed", F.lit(broken).cast("long"))
 

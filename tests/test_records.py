@@ -3,8 +3,10 @@
 import json
 import random
 
+import pyarrow as pa
 import pytest
 
+from panelspark.queries import QUERIES
 from panelspark.sinks import files as sinks
 from panelspark.sources import records as R
 from panelspark.sources.files import scan_wrapped_records
@@ -112,3 +114,51 @@ def test_arrays_round_trip(spark, tmp_path, rows):
         assert rows(scan_wrapped_records(spark, path, "id int, name string")) == [(i, "x") for i in range(10)]
     sinks.write_json_arrays(df.limit(0), path)
     assert scan_wrapped_records(spark, path, "id int, name string").isEmpty()
+
+
+def plain_walk(text, in_string):
+    """State, depth and names after the text, a character at a time."""
+    depth, names, begun_at, name, i = 0, {}, None, "", 0
+    while i < len(text):
+        c = text[i]
+        if in_string:
+            i += c == "\\"
+            if c == '"':
+                own = "" if begun_at is None else text[begun_at + 1 : i]
+                in_string, name = False, "" if "}" in own else own
+        elif c == '"':
+            in_string, begun_at, name = True, i, ""
+        elif c in "[{":
+            names[depth] = name if c == "[" and text[:i].rstrip().endswith(":") else ""
+            depth, name = depth + 1, ""
+        elif c in "]}":
+            depth, name = depth - 1, ""
+        elif c not in " :" or (c == ":" and text[:i].rstrip().endswith(":")):
+            name = ""
+        i += 1
+    return in_string, depth, names
+
+
+def test_walks_equal_a_plain_parser():
+    rng = random.Random(5)
+    tokens = ['"', "\\", "\\\\", "{", "}", "[", "]", ":", '"Data": [', '{"a":1}', ",", " ", "é", '\\"']
+    for _ in range(3000):
+        pieces = "".join(rng.choice(tokens) for _ in range(rng.randrange(1, 60))).split("}")
+        for in_string in (False, True):
+            walk, cut = R.Walk(in_string), rng.randrange(len(pieces) + 1)
+            for some in (pieces[:cut], pieces[cut:]):
+                if some:
+                    walk.over(R.Marks(pa.array(some)))
+            assert (walk.in_string, walk.depth, walk.names) == plain_walk("}".join(pieces) + "}", in_string), (pieces, in_string)
+
+
+def test_documents_are_read_once_for_states_and_once_for_records(spark, tmp_path, rows, monkeypatch):
+    dates = spark.range(50).selectExpr("id as o_orderkey", "id % 7 as o_custkey", "date'2020-03-01' as o_orderdate", "id * 1.5d as o_totalprice")
+    dates.write.parquet(str(tmp_path / "orders.parquet"))
+    reads, pieces = [], R._pieces
+    monkeypatch.setattr(R, "_pieces", lambda *a: reads.append(a) or pieces(*a))
+    found = QUERIES["scan_json_documents"](spark, str(tmp_path))
+    assert [(r.county_code, r.year, r.arithmetic_mean, r.malformed) for r in found.orderBy("arithmetic_mean").collect()] == [
+        (str(i % 7 + 1), 2020, i * 1.5, 2) for i in range(50)
+    ]
+    assert len(reads) == 2

@@ -32,7 +32,7 @@ from panelspark.session import written
 #: States of splits that are sent to all tasks; with more, the pieces go to them.
 STATES_AT_ONCE = 1 << 16
 
-_COLON = re.compile(r"\s*:\s*")
+_COLON = re.compile(r"\s*:\s*\Z")
 _QUOTE, _BACKSLASH, _OPEN_LIST, _CLOSE_LIST, _OPEN, _CLOSE = b'"\\[]{}'
 _MATTERS = np.isin(np.arange(256), list(b'"[]{}'))
 
@@ -120,7 +120,7 @@ class Steps:
             return ""
         start, end, at = int(self.quotes[n - 2]), int(self.quotes[n - 1]), int(self.at[i])
         name = self.marks.text[start + 1 : end]
-        return "" if b"}" in name or not _COLON.fullmatch(self.marks.text[end + 1 : at].decode()) else name.decode()
+        return "" if b"}" in name or not _COLON.match(self.marks.text[end + 1 : at].decode()) else name.decode()
 
     def starts(self, level: int) -> np.ndarray:
         """Where objects open at the level, the last in each piece."""

@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import itertools
 import random
 
 import numpy as np
@@ -136,6 +137,23 @@ def test_multikey_order(suffixes):
         assert common[k] == same
 
 
+@pytest.mark.parametrize("rows", list(itertools.permutations(range(3))))
+def test_shorter_contexts_between_those_that_end_in_nul(rows):
+    passage = bytes(random.Random(3).choices(range(97, 123), k=405)) + bytes(95)
+    contexts = [(passage[:450], passage[:410], passage[:450])[i] for i in rows]
+    counts = np.array([len(c) - 399 for c in contexts])
+    assert [int(flags.sum()) for flags in suffixarray.solve(contexts, np.full(3, 50), counts, 400)] == counts.tolist()
+
+
+def test_texts_with_nul_equal_brute_force(docs):
+    r, texts = random.Random(8), []
+    for i in range(60):
+        passage = "".join(r.choices("abcdefgh", k=62)) + "\0" * 20
+        texts += [passage, f"{i}{passage}", f"{i} {passage[: 64 + r.randrange(10)]}x"]
+    out = {row.doc_id: tuple(row)[1:] for row in suffixarray.report(docs(texts), window=60).collect()}
+    assert out == dict(enumerate(brute(texts, 60, False)))
+
+
 def test_sliding_minimum_and_anchors(monkeypatch):
     r = np.random.default_rng(2)
     values = r.integers(0, 50, 200).astype(np.uint64)
